@@ -5,15 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens import driver_oracle
-from orderlens.driver_tables import INDUSTRY, STATUS, recent, shop_tables, with_gaps
+from orderlens.driver_tables import (
+    INDUSTRY,
+    STATUS,
+    export_csv,
+    recent,
+    shop_tables,
+    with_gaps,
+)
+from orderlens.job import INPUTS, load_input, load_tables, run_job
 from orderlens.plans import reports
+from orderlens.quality import report_counts
+from orderlens.sources import read_report, save_report
 from orderlens.tables import ShopTables
+from orderlens.workspace import new_directory
 
 # Also run with only recent orders, when most customers have no order or no priced line.
 SPARSE = ("lowest_spenders", "spend_extremes", "segment_top5_list_price", "segment_top5_sale_price")
 
+# Written as files by the daily run.
+SAVED = ("spend_extremes", "segment_top5_sale_price")
+
 Report = Callable[[ShopTables], DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +59,13 @@ def queries() -> dict[str, Query]:
         found[f"{name}_gaps"] = _over_tables(report, gaps=True)
     for name in SPARSE:
         found[f"{name}_recent_gaps"] = _over_tables(REPORTS[name], since_recent=True, gaps=True)
+    for name in INPUTS:
+        found[f"load_{name}"] = _loaded(name)
+    for name in SAVED:
+        found[f"saved_{name}"] = _saved(name)
+    found["table_row_counts"] = table_row_counts
+    found["result_gate"] = result_gate
+    found["run_job"] = whole_job
     return found
 
 
@@ -53,9 +76,76 @@ def oracle_sql() -> dict[str, str]:
         found[f"{name}_gaps"] = driver_oracle.report_sql(name, gaps=True)
     for name in SPARSE:
         found[f"{name}_recent_gaps"] = driver_oracle.report_sql(name, recent=True, gaps=True)
+    for name in INPUTS:
+        found[f"load_{name}"] = driver_oracle.table_sql(name)
+    for name in SAVED:
+        found[f"saved_{name}"] = driver_oracle.report_sql(name)
+    found["table_row_counts"] = driver_oracle.row_counts_sql()
+    found["result_gate"] = driver_oracle.gate_sql()
+    found["run_job"] = driver_oracle.gate_sql()
     return found
 
 
+def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each table as counted while loading it from its exported file."""
+    work = _exported(spark, sf_dir, *INPUTS)
+    counts = load_tables(spark, work, f"{work}/tables")
+    return spark.createDataFrame(list(counts.items()), "table_name STRING, row_count BIGINT")
+
+
+def result_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of both saved reports."""
+    work = new_directory(spark, "gate")
+    saved = {}
+    for name in SAVED:
+        report = REPORTS[name](shop_tables(spark, sf_dir))
+        save_report(report, f"{work}/{name}")
+        saved[name] = (f"{work}/{name}", report.schema)
+    return report_counts(spark, saved)
+
+
+def whole_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily run over exported files."""
+    work = _exported(spark, sf_dir, *INPUTS)
+    return run_job(spark, work, f"{work}/out")
+
+
+def _loaded(name: str) -> Query:
+    """One table, exported to its file and loaded back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        loaded = load_input(spark, _exported(spark, sf_dir, name), name)
+        return loaded.select(
+            [
+                F.col(field.name).cast("double").alias(field.name)
+                if isinstance(field.dataType, T.DecimalType)
+                else F.col(field.name)
+                for field in loaded.schema
+            ]
+        )
+
+    return run
+
+
+def _saved(name: str) -> Query:
+    """One report, written as a file and read back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        report = REPORTS[name](shop_tables(spark, sf_dir))
+        path = f"{new_directory(spark, 'report')}/{name}"
+        save_report(report, path)
+        return read_report(spark, path, report.schema)
+
+    return run
+
+
+def _exported(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    work = new_directory(spark, "files")
+    for name in names:
+        export_csv(shop_tables(spark, sf_dir), work, name)
+    return work
+
+
 def _over_tables(report: Report, since_recent: bool = False, gaps: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = shop_tables(spark, sf_dir)

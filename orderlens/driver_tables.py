@@ -10,16 +10,27 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.job import INPUTS
 from orderlens.tables import MONEY, ShopTables
 
 STATUS = "F"  # stands for 'Approved'
 INDUSTRY = "BUILDING"  # stands for 'IT'
 RECENT = "2001-07-25"
 
+# The columns in use, declared so that opening a table reads no file.
+_COLUMNS = {
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE",
+    "part": "p_partkey BIGINT, p_brand STRING, p_retailprice DOUBLE",
+}
+
 
 def shop_tables(spark: SparkSession, sf_dir: str) -> ShopTables:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     balance = F.col("c_acctbal")
     customer = (
@@ -58,6 +69,14 @@ def shop_tables(spark: SparkSession, sf_dir: str) -> ShopTables:
     return ShopTables(customer, orders, order_items, product)
 
 
+def export_csv(tables: ShopTables, directory: str, name: str) -> None:
+    """Write one table the way the job expects its input file."""
+    sep = INPUTS[name][1]
+    getattr(tables, name).write.csv(
+        f"{directory}/{name}.csv", sep=sep, header=True, quote='"', escape='"'
+    )
+
+
 def recent(tables: ShopTables) -> ShopTables:
     """Orders since ``RECENT`` only, which leaves most customers without any order."""
     return replace(tables, orders=tables.orders.filter(F.col("order_date") >= RECENT))
