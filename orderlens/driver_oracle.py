@@ -220,6 +220,11 @@ _REPORTS = {
 }
 
 
+def report_body(report: str) -> str:
+    """The query itself, over ``shop_customer``, ``shop_orders``, ``shop_items``, ``shop_product``."""
+    return _REPORTS[report]
+
+
 def report_sql(report: str, recent: bool = False, gaps: bool = False) -> str:
     return f"WITH {_shop(recent, gaps)}\n{_REPORTS[report]}"
 
