@@ -16,6 +16,7 @@ from orderlens.tables import MONEY, ShopTables
 STATUS = "F"  # stands for 'Approved'
 INDUSTRY = "BUILDING"  # stands for 'IT'
 RECENT = "2001-07-25"
+_MONEY = MONEY.simpleString()
 
 # The columns in use, declared so that opening a table reads no file.
 _COLUMNS = {
@@ -32,41 +33,38 @@ def shop_tables(spark: SparkSession, sf_dir: str) -> ShopTables:
     def table(name: str) -> DataFrame:
         return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-    balance = F.col("c_acctbal")
-    customer = (
-        table("customer")
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("n_name").alias("first_name"),
-            F.col("c_mktsegment").alias("last_name"),
-            F.col("n_name").alias("job_title"),
-            F.col("c_mktsegment").alias("job_industry_category"),
-            F.when(balance < 3000, "Mass Customer")
-            .when(balance < 6000, "Affluent Customer")
-            .otherwise("High Net Worth")
-            .alias("wealth_segment"),
-        )
+    return ShopTables(
+        customer=table("customer")
+        .join(table("nation").withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
+        .selectExpr(
+            "c_custkey AS customer_id",
+            "n_name AS first_name",
+            "c_mktsegment AS last_name",
+            "n_name AS job_title",
+            "c_mktsegment AS job_industry_category",
+            "CASE WHEN c_acctbal < 3000 THEN 'Mass Customer'"
+            " WHEN c_acctbal < 6000 THEN 'Affluent Customer'"
+            " ELSE 'High Net Worth' END AS wealth_segment",
+        ),
+        orders=table("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            "CAST(CAST(o_orderdate AS DATE) AS STRING) AS order_date",
+            "o_orderstatus AS order_status",
+            "o_orderpriority IN ('1-URGENT', '2-HIGH') AS online_order",
+        ),
+        order_items=table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            "l_partkey AS product_id",
+            f"CAST(l_quantity AS {_MONEY}) AS quantity",
+            f"CAST(l_extendedprice AS {_MONEY}) AS item_list_price_at_sale",
+        ),
+        product=table("part").selectExpr(
+            "p_partkey AS product_id",
+            "p_brand AS brand",
+            f"CAST(p_retailprice AS {_MONEY}) AS list_price",
+        ),
     )
-    orders = table("orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").cast("string").alias("order_date"),
-        F.col("o_orderstatus").alias("order_status"),
-        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("online_order"),
-    )
-    order_items = table("lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast(MONEY).alias("quantity"),
-        F.col("l_extendedprice").cast(MONEY).alias("item_list_price_at_sale"),
-    )
-    product = table("part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_brand").alias("brand"),
-        F.col("p_retailprice").cast(MONEY).alias("list_price"),
-    )
-    return ShopTables(customer, orders, order_items, product)
 
 
 def export_csv(tables: ShopTables, directory: str, name: str) -> None:

@@ -15,6 +15,8 @@ def local_session(name: str, cores: str = "8", **settings: str) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)
