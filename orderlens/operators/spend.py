@@ -8,8 +8,9 @@ and the strings of the customer table never ride along with the lines.
 The measures carried at each level:
 
 ========================  ====================================================
-``amount_sum``            sum of line amounts, null if every amount is null
-``amount_max/amount_min`` largest and smallest line amount
+``amount_sum``            exact sum of line amounts, null if every amount is null
+``amount_max/amount_min`` largest and smallest line amount, already double: rounding
+                          keeps order, so it may as well come first and travel lighter
 ``amount_count``          lines with an amount (the divisor of the average)
 ``line_count``            lines, with or without an amount
 ``order_count``           distinct orders (customer level only)
@@ -25,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions import line_amount
+from orderlens.functions import as_double, line_amount
 
 
 def order_totals(order_items: DataFrame, price: str, product: DataFrame | None = None) -> DataFrame:
@@ -45,8 +46,8 @@ def order_totals(order_items: DataFrame, price: str, product: DataFrame | None =
         .groupBy("order_id")
         .agg(
             F.sum("amount").alias("amount_sum"),
-            F.max("amount").alias("amount_max"),
-            F.min("amount").alias("amount_min"),
+            F.max(as_double(F.col("amount"))).alias("amount_max"),
+            F.min(as_double(F.col("amount"))).alias("amount_min"),
             F.count("amount").alias("amount_count"),
             F.count(F.lit(1)).alias("line_count"),
         )

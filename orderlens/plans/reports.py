@@ -14,7 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.functions import as_day, as_double, ascending, descending, or_zero
+from orderlens.functions import (
+    as_day,
+    as_double,
+    ascending,
+    descending,
+    line_amount,
+    or_zero,
+)
 from orderlens.operators import (
     both_ends,
     customer_totals,
@@ -42,17 +49,22 @@ def clients_by_industry(tables: ShopTables) -> DataFrame:
 
 
 def monthly_revenue_by_industry(tables: ShopTables, status: str = "Approved") -> DataFrame:
-    """List-price revenue of orders with the given status per year, month and industry."""
+    """List-price revenue of orders with the given status per year, month and industry.
+
+    The status filter drops many lines, so the orders are joined to the lines before the
+    lines are priced: only lines of wanted orders reach the product join.
+    """
     day = as_day("order_date")
     orders = tables.orders.filter(F.col("order_status") == status).select(
         "order_id", "customer_id", F.year(day).alias("year"), F.month(day).alias("month")
     )
     keys = ["year", "month", "job_industry_category"]
     return (
-        orders.join(_list_price_totals(tables), "order_id")
-        .join(tables.customer.select("customer_id", "job_industry_category"), "customer_id")
+        orders.join(tables.customer.select("customer_id", keys[-1]), "customer_id")
+        .join(tables.order_items.select("order_id", "product_id", "quantity"), "order_id")
+        .join(tables.product.select("product_id", LIST_PRICE), "product_id")
         .groupBy(keys)
-        .agg(as_double(F.sum("amount_sum")).alias("total_revenue"))
+        .agg(as_double(F.sum(line_amount(LIST_PRICE))).alias("total_revenue"))
         .orderBy(*ascending(*keys))
     )
 
@@ -93,8 +105,8 @@ def customer_spend_grouped(tables: ShopTables) -> DataFrame:
         "customer_id",
         *NAMES,
         as_double(F.col("amount_sum")).alias("total_revenue"),
-        as_double(F.col("amount_max")).alias("max_order"),
-        as_double(F.col("amount_min")).alias("min_order"),
+        F.col("amount_max").alias("max_order"),
+        F.col("amount_min").alias("min_order"),
         F.col("order_count").alias("orders_count"),
         _average(F.col("amount_sum"), F.col("amount_count")).alias("avg_order"),
     ).orderBy(*descending("total_revenue", "orders_count"), *ascending("customer_id"))
@@ -114,8 +126,8 @@ def customer_spend_windowed(tables: ShopTables) -> DataFrame:
             "customer_id",
             *NAMES,
             as_double(total).alias("total_revenue"),
-            as_double(F.max("amount_max").over(customer)).alias("max_order"),
-            as_double(F.min("amount_min").over(customer)).alias("min_order"),
+            F.max("amount_max").over(customer).alias("max_order"),
+            F.min("amount_min").over(customer).alias("min_order"),
             F.sum("line_count").over(customer).alias("orders_count"),
             _average(total, F.sum("amount_count").over(customer)).alias("avg_order"),
         )

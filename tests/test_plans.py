@@ -64,6 +64,11 @@ def test_rank_limits_apply_before_the_shuffle(spark, big_tables, name):
     assert len(re.findall(r"WindowGroupLimit .*Final", plan)) == 1
 
 
+@pytest.mark.parametrize("name", ["lowest_spenders", "highest_spenders"])
+def test_the_first_few_are_kept_by_bounded_heaps(spark, big_tables, name):
+    assert "TakeOrderedAndProject(limit=3" in plan_of(REPORTS[name](shop_tables(spark, DATA)))
+
+
 def test_both_ends_share_one_computation_of_the_totals(spark, big_tables):
     plan = final_plan_of(reports.spend_extremes(shop_tables(spark, DATA)))
     assert plan.count("TakeOrderedAndProject") == 2
@@ -81,8 +86,8 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "p_brand" not in text and "o_orderpriority" not in text
 
 
-def test_a_hot_product_and_a_hot_customer_are_split(spark, settings, big_tables, tmp_path, rows):
-    """A third of all lines on one product and of all orders on one customer."""
+def test_hot_products_orders_and_customers_are_split(spark, settings, big_tables, tmp_path, rows):
+    """A third of all lines on one product and on one order, of all orders on one customer."""
     settings(
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="40KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
@@ -95,7 +100,8 @@ def test_a_hot_product_and_a_hot_customer_are_split(spark, settings, big_tables,
         "'2020-01-01' AS order_date", "'Approved' AS order_status", "true AS online_order",
     )
     items = spark.range(0, 90000, 1, 8).selectExpr(
-        "id % 30000 AS order_id", "IF(id % 3 = 0, 1, id % 800) AS product_id",
+        "IF(hash(id) % 3 = 0, 7, id % 30000) AS order_id",
+        "IF(id % 3 = 0, 1, id % 800) AS product_id",
         "CAST(1 + hash(id) % 1000000 / 1e6 AS DECIMAL(12,2)) AS quantity",
         "CAST(1 AS DECIMAL(12,2)) AS item_list_price_at_sale",
     )
@@ -114,7 +120,7 @@ def test_a_hot_product_and_a_hot_customer_are_split(spark, settings, big_tables,
         stored[name] = spark.read.parquet(str(tmp_path / name))
     report = reports.monthly_revenue_by_industry(ShopTables(**stored))
     plan = final_plan_of(report)
-    assert re.search(r"SortMergeJoin\(skew=true\) \[product_id", plan)
-    assert re.search(r"SortMergeJoin\(skew=true\) \[customer_id", plan)
+    for key in ("product_id", "order_id", "customer_id"):
+        assert re.search(rf"SortMergeJoin\(skew=true\) \[{key}", plan), key
     total = stored["order_items"].selectExpr("CAST(SUM(quantity) AS DOUBLE) AS t").first().t
     assert rows(report) == [(2020, 1, "IT", total)]

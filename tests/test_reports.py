@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from orderlens.plans import reports
 
 
@@ -187,3 +189,13 @@ def test_totals_stay_exact_beyond_double_precision(shop, rows):
     lines = [(10, 1, 1, 0.01)] * 3 + [(10, 1, 1, 9999999999.99)] * 2
     tables = shop(customer=[client(1)], orders=[order(10, 1)], items=lines)
     assert rows(reports.segment_top5_sale_price(tables))[0][3] == 20000000000.01
+
+
+def test_a_malformed_date_stops_the_report(shop):
+    tables = shop(
+        customer=[client(1)], orders=[order(10, 1, "2020-13-45")], items=[(10, 1, 1, 1)],
+        product=[(1, "A", 1)],
+    )
+    for report in (reports.longest_order_gap, reports.monthly_revenue_by_industry):
+        with pytest.raises(Exception, match="2020-13-45"):
+            report(tables).collect()
