@@ -17,7 +17,7 @@ MISSING = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Numbers are parsed into this first, so that 12.0 is a valid id and 12.5 is not.
+# Wide enough to tell 12.0, a valid id, from 12.5.
 _EXACT = T.DecimalType(38, 18)
 
 
@@ -66,12 +66,23 @@ def _typed(name: str, kind: T.DataType) -> Column:
     text = F.col(f"`{name}`")
     if isinstance(kind, T.StringType):
         return text
-    if isinstance(kind, T.NumericType):
-        exact = text.try_cast(_EXACT)
-        value = exact.try_cast(kind)
-        fits = value == exact
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        value = _number(text, kind)
     else:
         value = text.try_cast(kind)
-        fits = value.isNotNull()
     problem = F.concat(F.lit(f"column {name}: '"), text, F.lit(f"' is not {kind.simpleString()}"))
-    return F.when(text.isNull() | fits, value).otherwise(F.raise_error(problem))
+    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(problem)))
+
+
+def _number(text: Column, kind: T.DataType) -> Column:
+    """The exact value as ``kind``, null where the text is no number or does not fit."""
+    exact = text.try_cast(_EXACT)
+    narrowed = exact.try_cast(kind)
+    lossless = F.when(narrowed == exact, narrowed)
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(text.try_cast(kind), lossless)
+    # Plain text with few enough decimals cannot be rounded: spare it the wide parse.
+    dot = F.instr(text, ".")
+    plain = (dot == 0) | (F.length(text) - dot <= kind.scale)
+    exponent = text.contains("e") | text.contains("E")
+    return F.when(plain & ~exponent, text.try_cast(kind)).otherwise(lossless)

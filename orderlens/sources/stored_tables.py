@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import fields
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,3 +26,11 @@ def open_tables(spark: SparkSession, directory: str) -> ShopTables:
         order_items=spark.read.parquet(f"{directory}/order_items"),
         product=spark.read.parquet(f"{directory}/product"),
     )
+
+
+def name_tables(tables: ShopTables) -> None:
+    """Make the tables readable by name in ``spark.sql``."""
+    for field in fields(tables):
+        table = getattr(tables, field.name)
+        if table is not None:
+            table.createOrReplaceTempView(field.name)

@@ -8,7 +8,14 @@ import pandas as pd
 import pytest
 from pyspark.sql import types as T
 
-from orderlens.sources import load_csv, open_tables, read_report, save_report, save_table
+from orderlens.sources import (
+    load_csv,
+    name_tables,
+    open_tables,
+    read_report,
+    save_report,
+    save_table,
+)
 from orderlens.sources.csv_files import MISSING
 from orderlens.tables import CUSTOMER, ORDER_ITEMS, ORDERS, PRODUCT
 
@@ -65,6 +72,18 @@ def test_declared_types_are_applied(spark, tmp_path, rows):
     ]
 
 
+def test_every_exact_spelling_of_a_number_is_accepted(spark, tmp_path, rows):
+    path = write(
+        tmp_path / "numbers.csv",
+        "id,price,flag,name\n-1,.5,TRUE,a\n+2,-1.50,false,b\n 3 ,1.000,True,c\n"
+        "4e2,1.5e1,True,d\n9223372036854775807,9999999999.99,True,e\n",
+    )
+    assert [row[:2] for row in rows(load_csv(spark, path, SMALL))] == [
+        (-1, Decimal("0.50")), (2, Decimal("-1.50")), (3, Decimal("1.00")),
+        (400, Decimal("15.00")), (9223372036854775807, Decimal("9999999999.99")),
+    ]
+
+
 def test_missing_values_are_the_same_as_in_pandas(spark, tmp_path, rows):
     words = [*MISSING, "na", "Null", "none", "N.A.", "-", " NA", "0", "NaN ", '""']
     path = write(
@@ -78,7 +97,8 @@ def test_missing_values_are_the_same_as_in_pandas(spark, tmp_path, rows):
 
 @pytest.mark.parametrize(
     "line", ["x,1,True,a", "1.5,1,True,a", "1,1.234,True,a", "1,12345678901.00,True,a",
-             "1,1,maybe,a", "1,one,True,a"],
+             "1,1,maybe,a", "1,one,True,a", "1,.,True,a", "1,1e-9,True,a", "1,1.5.0,True,a",
+             "9223372036854775808,1,True,a", "1e30,1,True,a"],
 )
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_bad_text_stops_the_load(spark, settings, tmp_path, line, ansi):
@@ -139,6 +159,12 @@ def test_stored_tables_open_by_name(spark, shop, tmp_path):
     assert opened.product.count() == 1 and opened.customer.schema == tables.customer.schema
 
 
+def test_named_tables_answer_sql(spark, shop, rows):
+    name_tables(shop(orders=[(1, 7, "2020-01-01", "Approved", True)], items=[(1, 2, 3, 4)]))
+    question = "SELECT o.customer_id, i.quantity FROM orders o JOIN order_items i USING (order_id)"
+    assert rows(spark.sql(question)) == [(7, Decimal("3.00"))]
+
+
 def test_reports_round_trip_in_order_with_plain_numbers_and_empty_nulls(spark, tmp_path, rows):
     schema = "name STRING, segment STRING, total DOUBLE"
     data = [("b", None, 12345678.9), ('say "x", y', "s", 0.0), (None, "two\nlines", 2.5)]
