@@ -14,6 +14,7 @@ def local_session(name: str, cores: str = "8", **settings: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def new_directory(spark: SparkSession, label: str) -> str:
-    """A fresh directory name under the shared folder the session names.
+def application_directory(spark: SparkSession) -> str:
+    """This application's folder below one that the driver and every executor reach.
 
-    Every executor must reach it, so the session's ``spark.checkpoint.dir`` decides. A
-    session without one (a test on a single machine) gets a local temporary folder.
+    That is ``spark.checkpoint.dir``; a session without one has the warehouse, which a
+    cluster shares as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix=f"orderlens-{label}-")
-    return f"{shared.rstrip('/')}/orderlens-{label}-{uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/orderlens/{spark.sparkContext.applicationId}"
+
+
+def new_directory(spark: SparkSession, label: str) -> str:
+    """A fresh directory name in this application's folder."""
+    return f"{application_directory(spark)}/{label}-{uuid4().hex}"
+
+
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """The frame written once and read again: later steps and retries read the files."""
+    path = new_directory(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -13,8 +13,11 @@ from orderlens.tables import CUSTOMER, ORDER_ITEMS, ORDERS, PRODUCT, ShopTables
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", cores="4", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    session = local_session("tests", cores="4", **{
+        "spark.sql.shuffle.partitions": "4",
+        "spark.checkpoint.dir": tmp_path_factory.mktemp("shared").as_uri(),
+    })
     yield session
     session.stop()
 
