@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import language_id, quality, warc
-from orderlens.llm.corpus import table
+from orderlens.llm import fingerprints, language_id, quality, sharding, warc
+from orderlens.llm.corpus import id_and_text, table, utf8_size
 from orderlens.workspace import new_directory
 
 
@@ -22,13 +22,32 @@ def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op1_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
+def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    rows = id_and_text(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        (utf8_size(text) + 1).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.xxhash64(text).alias("text_key"),
+    )
+    dealt = sharding.shard(rows, F.col("size"), F.col("text_key"), F.col("doc_id"), 8)
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), new_directory(spark, "warc"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op5_warc_revisits, op8_language_bitmask, op10_quality_discriminant)
+    for f in (op1_imatch_fingerprints, op2_histogram_shards, op5_warc_revisits, op8_language_bitmask, op10_quality_discriminant)
 }
 
 
