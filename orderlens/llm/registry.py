@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import fingerprints, language_id, quality, sharding, warc
+from orderlens.llm import fingerprints, jaccard_join, language_id, quality, sharding, warc
 from orderlens.llm.corpus import id_and_text, table, utf8_size
 from orderlens.workspace import new_directory
 
@@ -41,13 +41,17 @@ def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), new_directory(spark, "warc"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_imatch_fingerprints, op2_histogram_shards, op5_warc_revisits, op8_language_bitmask, op10_quality_discriminant)
+    for f in (op1_imatch_fingerprints, op2_histogram_shards, op4_jaccard_components, op5_warc_revisits, op8_language_bitmask, op10_quality_discriminant)
 }
 
 

@@ -1,0 +1,49 @@
+"""Sets of hashed word shingles."""
+
+from __future__ import annotations
+
+import numpy as np
+import xxhash
+
+LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+WORDS = 5
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_SHIFT = np.uint64(29)
+
+
+class Shingler:
+    """Distinct word shingles of texts as sorted 64-bit hashes; remembers words it has seen."""
+
+    most_words = 1 << 18
+
+    def __init__(self, words: int = WORDS) -> None:
+        self.words = words
+        self.known: dict[bytes, int] = {}
+
+    def __call__(self, text: bytes | None) -> np.ndarray:
+        """A-Z in lower case, words between ASCII white space; a short text is one shingle."""
+        words = (text or b"").translate(LOWER).split()
+        if not words:
+            return np.zeros(0, np.uint64)
+        known = self.known
+        if len(known) > self.most_words:
+            known.clear()
+        hashes = []
+        for w in words:
+            h = known.get(w)
+            if h is None:
+                h = known[w] = xxhash.xxh3_64_intdigest(w)
+            hashes.append(h)
+        h = np.array(hashes, np.uint64)
+        width = min(self.words, len(h))
+        out = np.full(len(h) - width + 1, width, np.uint64)
+        with np.errstate(over="ignore"):
+            for i in range(width):
+                out = (out ^ h[i : len(h) - width + 1 + i]) * _ODD
+                out ^= out >> _SHIFT
+        return np.unique(out)
+
+
+def set_key(hashes: np.ndarray) -> int:
+    """A signed 64-bit name of a set of hashes."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).view(np.int64))
