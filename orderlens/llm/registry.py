@@ -7,17 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import fingerprints, jaccard_join, language_id, quality, sharding, warc
+import corpus_pipeline
+from orderlens.llm import (
+    decontamination,
+    fingerprints,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    mixing,
+    quality,
+    sharding,
+    warc,
+)
 from orderlens.llm.corpus import id_and_text, table, utf8_size
 from orderlens.workspace import new_directory
 
 
+def op6_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.draw(table(spark, sf_dir, "documents"))
+    return drawn.select("doc_id", "source", "lang", F.col("__keep__").alias("keep"))
+
+
 def op8_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     told = language_id.predict(documents, language_id.learn_from_folds(documents))
     return told.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,6 +61,10 @@ def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.drop_repeated_runs(table(spark, sf_dir, "documents")))
+
+
 def op4_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
@@ -49,9 +73,24 @@ def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), new_directory(spark, "warc"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_imatch_fingerprints, op2_histogram_shards, op4_jaccard_components, op5_warc_revisits, op8_language_bitmask, op10_quality_discriminant)
+    for f in (
+        op1_imatch_fingerprints,
+        op2_histogram_shards,
+        op3_line_runs,
+        op4_jaccard_components,
+        op5_warc_revisits,
+        op6_raked_mixture,
+        op8_language_bitmask,
+        op9_template_leaks,
+        op10_quality_discriminant,
+        pipeline,
+    )
 }
 
 
