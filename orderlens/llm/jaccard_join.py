@@ -35,7 +35,7 @@ NUMERATOR, DENOMINATOR = 3, 4
 OFTEN = 16
 LEAST_POWER, MOST_POWER = 20, 27
 TOKEN_BITS = 44
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 #: What one task joins: so many sets and bytes of text at most (a single set may be larger).
 BLOCK_SETS, BLOCK_BYTES = 4096, 12 << 20
 

@@ -22,7 +22,7 @@ from orderlens.llm.corpus import fold
 
 UNDETERMINED = "und"
 SLOT_BITS = 18
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 #: N-grams are this many letters long; a word's ends count as letters.
 GRAM = 4
 #: Labelled texts that are learned from, per language; all rows are predicted.

@@ -14,7 +14,7 @@ _SHIFT = np.uint64(29)
 class Shingler:
     """Distinct word shingles of texts as sorted 64-bit hashes; remembers words it has seen."""
 
-    most_words = 1 << 18
+    most_words = 1 << 16
 
     def __init__(self, words: int = WORDS) -> None:
         self.words = words
