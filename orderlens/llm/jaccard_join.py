@@ -17,7 +17,7 @@ Links between different sets are all found: hash order and bitmaps only decide h
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -76,9 +76,15 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _token_counts(bucket_bits: int):
+def _shingle_arrays(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    shingle = Shingler()
+    for text in batch.column("text").cast(pa.binary()):
+        yield shingle(text.as_py())
+
+
+def _token_counts(bucket_bits: int, arrays: Callable[[pa.RecordBatch], Iterator[np.ndarray]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, held, size = Shingler(), [], 0
+        held, size = [], 0
 
         def flush() -> pa.RecordBatch:
             tokens, counts = np.unique(np.concatenate(held) >> np.uint64(64 - TOKEN_BITS), return_counts=True)
@@ -96,8 +102,7 @@ def _token_counts(bucket_bits: int):
             )
 
         for batch in batches:
-            for text in batch.column("text").cast(pa.binary()):
-                hashes = shingle(text.as_py())
+            for hashes in arrays(batch):
                 if len(hashes):
                     held.append(hashes)
                     size += len(hashes)
@@ -111,14 +116,16 @@ def _token_counts(bucket_bits: int):
     return run
 
 
-def common_shingles(documents: DataFrame, n_shingles: int) -> tuple[int, np.ndarray]:
+def common_hashes(
+    documents: DataFrame, expected: int, arrays: Callable[[pa.RecordBatch], Iterator[np.ndarray]] = _shingle_arrays
+) -> tuple[int, np.ndarray]:
     """Bits per slot (2 ** power slots): found more than once (1), found often (2).
 
-    Counted over all rows. The bitmap has 16 slots per shingle as far as MOST_POWER allows, so
+    Counted over all rows. The bitmap has 16 slots per expected hash as far as MOST_POWER allows, so
     that its size is bounded; a fuller one makes prefixes less selective, never wrong.
     """
-    power = min(MOST_POWER, max(LEAST_POWER, (16 * n_shingles).bit_length()))
-    bucket_bits = min(16, max(8, (n_shingles >> 20).bit_length()))
+    power = min(MOST_POWER, max(LEAST_POWER, (16 * expected).bit_length()))
+    bucket_bits = min(16, max(8, (expected >> 20).bit_length()))
 
     def region(group: pa.Table) -> pa.Table:
         tokens = np.concatenate([_unpacked(x.as_py()) for x in group.column("tokens")])
@@ -135,7 +142,7 @@ def common_shingles(documents: DataFrame, n_shingles: int) -> tuple[int, np.ndar
         return pa.table({"bucket": pa.array([bucket]), **{f"b{i}": pa.array([b.tobytes()]) for i, b in enumerate(bits)}})
 
     regions = (
-        documents.select("text").mapInArrow(_token_counts(bucket_bits), "bucket long, tokens binary, counts binary")
+        documents.select("text").mapInArrow(_token_counts(bucket_bits, arrays), "bucket long, tokens binary, counts binary")
         .groupBy("bucket").applyInArrow(region, "bucket long, b0 binary, b1 binary")
     )
     size = 1 << power - 3
@@ -277,7 +284,7 @@ def join(documents: DataFrame) -> DataFrame:
     )
     reps = stored(named, "shingle-reps")
     total = reps.agg(F.sum("n")).first()[0] or 0
-    power, bitmap = common_shingles(documents, total)
+    power, bitmap = common_hashes(documents, total)
     entries = prefix_entries(documents, power, bitmap).distinct().repartition("token")
     heads = entries.groupBy("token").agg(F.min("set_key").alias("head"), F.max("set_key").alias("last")).where("head < last")
     pairs = entries.join(heads, "token").where("set_key <> head").select(F.col("set_key").alias("a"), F.col("head").alias("b"))

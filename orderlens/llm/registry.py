@@ -17,6 +17,7 @@ from orderlens.llm import (
     mixing,
     quality,
     sharding,
+    suffix_dedup,
     warc,
 )
 from orderlens.llm.corpus import id_and_text, table, utf8_size
@@ -28,6 +29,10 @@ def op6_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "source", "lang", F.col("__keep__").alias("keep"))
 
 
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.drop_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op8_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     told = language_id.predict(documents, language_id.learn_from_folds(documents))
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_jaccard_components,
         op5_warc_revisits,
         op6_raked_mixture,
+        op7_suffix_repeats,
         op8_language_bitmask,
         op9_template_leaks,
         op10_quality_discriminant,
