@@ -6,7 +6,7 @@ aggregation ahead of a join.
 
 from __future__ import annotations
 
-from orderlens.driver_tables import INDUSTRY, RECENT, STATUS
+from orderlens.driver_tables import BUYERS, INDUSTRY, STATUS
 
 _CUSTOMER = """
     SELECT c_custkey AS customer_id, n_name AS first_name, c_mktsegment AS last_name,
@@ -52,10 +52,13 @@ _GAPS_PRODUCT = f"""
     FROM ({_PRODUCT}) full_product"""
 
 
-def _shop(recent: bool = False, gaps: bool = False) -> str:
+def _shop(idle: bool = False, gaps: bool = False) -> str:
     orders = _ORDERS
-    if recent:
-        orders = f"SELECT * FROM ({orders}) all_orders WHERE order_date >= '{RECENT}'"
+    if idle:
+        orders = (
+            f"SELECT * REPLACE (CASE WHEN customer_id % {BUYERS} = 0 THEN customer_id END AS customer_id)"
+            f" FROM ({orders}) all_orders"
+        )
     customer, product = _CUSTOMER, _PRODUCT
     if gaps:
         orders = _GAPS_ORDERS.format(orders=orders)
@@ -225,8 +228,8 @@ def report_body(report: str) -> str:
     return _REPORTS[report]
 
 
-def report_sql(report: str, recent: bool = False, gaps: bool = False) -> str:
-    return f"WITH {_shop(recent, gaps)}\n{_REPORTS[report]}"
+def report_sql(report: str, idle: bool = False, gaps: bool = False) -> str:
+    return f"WITH {_shop(idle, gaps)}\n{_REPORTS[report]}"
 
 
 def table_sql(name: str) -> str:

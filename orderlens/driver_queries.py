@@ -13,18 +13,17 @@ from orderlens.driver_tables import (
     INDUSTRY,
     STATUS,
     export_csv,
-    recent,
+    idle,
     shop_tables,
     with_gaps,
 )
-from orderlens.job import INPUTS, load_input, load_tables, run_job
+from orderlens.job import INPUTS, load_input, load_tables, run_job, write_reports
 from orderlens.plans import reports
-from orderlens.quality import report_counts
-from orderlens.sources import read_report, save_report
+from orderlens.sources import read_report, save_report, save_table
 from orderlens.tables import ShopTables
 from orderlens.workspace import new_directory
 
-# Also run with only recent orders, when most customers have no order or no priced line.
+# Also run with few buyers, when most customers have no order or no priced line.
 SPARSE = ("lowest_spenders", "spend_extremes", "segment_top5_list_price", "segment_top5_sale_price")
 
 # Written as files by the daily run.
@@ -58,10 +57,10 @@ def queries() -> dict[str, Query]:
         found[name] = _over_tables(report)
         found[f"{name}_gaps"] = _over_tables(report, gaps=True)
     for name in SPARSE:
-        found[f"{name}_recent_gaps"] = _over_tables(REPORTS[name], since_recent=True, gaps=True)
+        found[f"{name}_idle_gaps"] = _over_tables(REPORTS[name], few_buyers=True, gaps=True)
     for name in INPUTS:
         found[f"load_{name}"] = _loaded(name)
-    for name in SAVED:
+    for name in (*SAVED, "customer_spend_grouped"):
         found[f"saved_{name}"] = _saved(name)
     found["table_row_counts"] = table_row_counts
     found["result_gate"] = result_gate
@@ -75,10 +74,10 @@ def oracle_sql() -> dict[str, str]:
         found[name] = driver_oracle.report_sql(name)
         found[f"{name}_gaps"] = driver_oracle.report_sql(name, gaps=True)
     for name in SPARSE:
-        found[f"{name}_recent_gaps"] = driver_oracle.report_sql(name, recent=True, gaps=True)
+        found[f"{name}_idle_gaps"] = driver_oracle.report_sql(name, idle=True, gaps=True)
     for name in INPUTS:
         found[f"load_{name}"] = driver_oracle.table_sql(name)
-    for name in SAVED:
+    for name in (*SAVED, "customer_spend_grouped"):
         found[f"saved_{name}"] = driver_oracle.report_sql(name)
     found["table_row_counts"] = driver_oracle.row_counts_sql()
     found["result_gate"] = driver_oracle.gate_sql()
@@ -96,12 +95,10 @@ def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def result_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of both saved reports."""
     work = new_directory(spark, "gate")
-    saved = {}
-    for name in SAVED:
-        report = REPORTS[name](shop_tables(spark, sf_dir))
-        save_report(report, f"{work}/{name}")
-        saved[name] = (f"{work}/{name}", report.schema)
-    return report_counts(spark, saved)
+    tables = shop_tables(spark, sf_dir)
+    for name in INPUTS:
+        save_table(getattr(tables, name), f"{work}/tables/{name}")
+    return write_reports(spark, f"{work}/tables", work)
 
 
 def whole_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,11 +143,11 @@ def _exported(spark: SparkSession, sf_dir: str, *names: str) -> str:
     return work
 
 
-def _over_tables(report: Report, since_recent: bool = False, gaps: bool = False) -> Query:
+def _over_tables(report: Report, few_buyers: bool = False, gaps: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = shop_tables(spark, sf_dir)
-        if since_recent:
-            tables = recent(tables)
+        if few_buyers:
+            tables = idle(tables)
         if gaps:
             tables = with_gaps(tables)
         return report(tables)

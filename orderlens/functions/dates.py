@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 
 def as_day(text: str | Column) -> Column:
-    """Text to date. Malformed text fails the query under ANSI mode."""
-    return F.to_date(text)
+    """Text to date. Text that is no date fails the query, with and without ANSI mode."""
+    value = F.col(text) if isinstance(text, str) else text
+    failed = F.raise_error(F.concat(F.lit("not a date: "), value.cast("string"))).cast("date")
+    return F.coalesce(value.try_cast("date"), F.when(value.isNotNull(), failed))
 
 
 def days_between(start: Column, end: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.plans import reports
 from orderlens.quality import report_counts, require_non_empty
-from orderlens.sources import load_csv, open_tables, save_report, save_table
+from orderlens.sources import load_csv, open_table, open_tables, save_report, save_table
 from orderlens.tables import CUSTOMER, ORDER_ITEMS, ORDERS, PRODUCT
 
 log = logging.getLogger(__name__)
@@ -50,7 +50,7 @@ def write_reports(spark: SparkSession, table_dir: str, out_dir: str) -> DataFram
     """
     spend_path = f"{table_dir}/customer_spend"
     save_table(reports.sale_spend(open_tables(spark, table_dir)), spend_path)
-    spend = spark.read.parquet(spend_path)
+    spend = open_table(spark, spend_path)
     saved = {}
     for name, report in {
         "spend_extremes": reports.spend_extremes_of(spend),

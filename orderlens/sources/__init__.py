@@ -2,6 +2,6 @@
 
 from orderlens.sources.csv_files import load_csv
 from orderlens.sources.report_files import read_report, save_report
-from orderlens.sources.stored_tables import name_tables, open_tables, save_table
+from orderlens.sources.stored_tables import name_tables, open_table, open_tables, save_table
 
-__all__ = ["load_csv", "name_tables", "open_tables", "read_report", "save_report", "save_table"]
+__all__ = ["load_csv", "name_tables", "open_table", "open_tables", "read_report", "save_report", "save_table"]

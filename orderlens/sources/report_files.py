@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A double is written with this many decimals: Spark would write 12345678.9 as 1.23456789E7.
-_PLAIN = T.DecimalType(38, 4)
+# Enough for a double of any size that reads well without an exponent.
+_PLAIN = T.DecimalType(38, 18)
 
 
 def save_report(report: DataFrame, path: str) -> None:
     """Replace the report at ``path``, keeping its row order.
 
     Adaptive execution merges a small result into one file; a large one stays in several
-    files whose names sort in row order.
+    files whose names sort in row order. Doubles keep all their digits: reading back gives the
+    same number. They are written without an exponent unless very small or large; infinities
+    and NaN are written as Java names them.
     """
     report.select(
         [
-            F.col(field.name).cast(_PLAIN).alias(field.name)
+            _digits(F.col(field.name)).alias(field.name)
             if isinstance(field.dataType, T.DoubleType)
             else F.col(field.name)
             for field in report.schema
@@ -26,6 +28,13 @@ def save_report(report: DataFrame, path: str) -> None:
     ).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', encoding="UTF-8")
 
 
+def _digits(number: Column) -> Column:
+    shortest = number.cast("string")
+    padded = shortest.try_cast(_PLAIN).cast("string")
+    plain = F.regexp_replace(F.regexp_replace(padded, "0+$", ""), r"\.$", ".0")
+    return F.when(shortest.contains("E") & (plain.try_cast("double") == number), plain).otherwise(shortest)
+
+
 def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A saved report. A missing path raises ``AnalysisException`` (PATH_NOT_FOUND)."""
     return spark.read.csv(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import fields
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,20 +13,31 @@ from orderlens.tables import ShopTables
 
 
 def save_table(rows: DataFrame, path: str) -> int:
-    """Replace the table at ``path``; returns its row count, taken while writing."""
+    """Replace the table at ``path``; returns its row count, taken while writing.
+
+    The rows go to a version folder of their own, and only when all are written does a line in
+    the table's log name it as current, so that a failed load leaves the table as it was. Old
+    versions stay for readers that still use them.
+    """
+    spark = rows.sparkSession
     written = Observation("written")
-    counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(path)
+    version = f"v{time.time_ns():020d}-{uuid4().hex[:8]}"
+    rows.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(f"{path}/{version}")
+    done = spark.range(1).select(F.lit(version).alias("version"))
+    done.write.mode("append").parquet(f"{path}/log")
     return written.get["rows"]
 
 
+def open_table(spark: SparkSession, path: str) -> DataFrame:
+    """The version of the table at ``path`` that was saved last."""
+    version = spark.read.schema("version string").parquet(f"{path}/log").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{path}/{version}")
+
+
 def open_tables(spark: SparkSession, directory: str) -> ShopTables:
     """The tables saved under ``directory``, one subdirectory per table."""
     return ShopTables(
-        customer=spark.read.parquet(f"{directory}/customer"),
-        orders=spark.read.parquet(f"{directory}/orders"),
-        order_items=spark.read.parquet(f"{directory}/order_items"),
-        product=spark.read.parquet(f"{directory}/product"),
+        **{name: open_table(spark, f"{directory}/{name}") for name in ("customer", "orders", "order_items", "product")}
     )
 
 

@@ -8,9 +8,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import types as T
 
+from orderlens.functions.dates import as_day
 from orderlens.sources import (
     load_csv,
     name_tables,
+    open_table,
     open_tables,
     read_report,
     save_report,
@@ -147,7 +149,7 @@ def test_saving_replaces_the_table_and_counts_its_rows(spark, shop, tmp_path, ro
     path = str(tmp_path / "product")
     assert save_table(first.product, path) == 3
     assert save_table(shop(product=[(9, "Z", 4)]).product, path) == 1
-    assert rows(spark.read.parquet(path)) == [(9, "Z", Decimal("4.00"))]
+    assert rows(open_table(spark, path)) == [(9, "Z", Decimal("4.00"))]
     assert save_table(shop().product, path) == 0
 
 
@@ -186,3 +188,30 @@ def test_an_ordered_small_report_becomes_one_file(spark, tmp_path):
     files = list((tmp_path / "report").glob("part-*.csv"))
     assert len(files) == 1
     assert [line.split(",")[0] for line in files[0].read_text().splitlines()[1:]] == list("0123456")
+
+
+def test_failed_load_leaves_the_table(spark, shop, rows, tmp_path):
+    path = str(tmp_path / "product")
+    save_table(shop(product=[(1, "Z", 4)]).product, path)
+    bad = spark.range(3).selectExpr("if(id = 2, raise_error('bad row'), id) AS product_id")
+    with pytest.raises(Exception, match="bad row"):
+        save_table(bad, path)
+    assert [r[0] for r in rows(open_table(spark, path))] == [1]
+
+
+def test_doubles_keep_all_digits(spark, rows, tmp_path):
+    numbers = [16 / 3, 12345678.9, 1e300, 1e-9, -0.1, 0.0, 136632.46000000002, float("inf"), None]
+    frame = spark.createDataFrame([(x,) for x in numbers], "x double")
+    save_report(frame, str(tmp_path / "r"))
+    back = [r[0] for r in rows(read_report(spark, str(tmp_path / "r"), frame.schema))]
+    assert sorted(map(str, back)) == sorted(map(str, numbers))
+    assert any("12345678.9\n" in f.read_text() for f in (tmp_path / "r").glob("*.csv"))
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_dates_fail_in_both_modes(spark, settings, rows, ansi):
+    settings(spark__sql__ansi__enabled=ansi)
+    good = spark.createDataFrame([("2020-01-31",), (None,)], "d string").select(as_day("d"))
+    assert [str(r[0]) for r in rows(good)] == ["2020-01-31", "None"]
+    with pytest.raises(Exception, match="not a date"):
+        spark.createDataFrame([("2020-13-45",)], "d string").select(as_day("d")).collect()
