@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from orderlens.llm import (
+    centroid_tree,
     decontamination,
     fingerprints,
     jaccard_join,
@@ -18,6 +19,7 @@ from orderlens.llm import (
     quality,
     sharding,
     suffix_dedup,
+    vector_codes,
     warc,
 )
 from orderlens.llm.corpus import id_and_text, table, utf8_size
@@ -78,6 +80,14 @@ def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), new_directory(spark, "warc"))
 
 
+def op12_dictionary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vantage_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_tree.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -95,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_bitmask,
         op9_template_leaks,
         op10_quality_discriminant,
+        op12_dictionary_codes,
+        op13_vantage_clusters,
         pipeline,
     )
 }
