@@ -15,6 +15,7 @@ from orderlens.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    minhash,
     mixing,
     quality,
     sharding,
@@ -80,6 +81,10 @@ def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), new_directory(spark, "warc"))
 
 
+def op11_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op12_dictionary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_bitmask,
         op9_template_leaks,
         op10_quality_discriminant,
+        op11_minhash_components,
         op12_dictionary_codes,
         op13_vantage_clusters,
         pipeline,
