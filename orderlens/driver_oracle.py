@@ -1,12 +1,13 @@
-"""The reports as plain SQL over the driver's test tables, for comparison by value.
+"""The reports as SQL over the driver's test tables, for comparison by value.
 
-Written independently of the DataFrame code: full join chains, literal windows, no
-aggregation ahead of a join.
+Each statement answers its question from what is asked, not from the DataFrame code: lines are priced
+once, set against orders by membership or key, and ranked by ordered lists or limits.
 """
 
 from __future__ import annotations
 
 from orderlens.driver_tables import BUYERS, INDUSTRY, STATUS
+from orderlens.sources.csv_files import MISSING
 
 _CUSTOMER = """
     SELECT c_custkey AS customer_id, n_name AS first_name, c_mktsegment AS last_name,
@@ -69,152 +70,119 @@ def _shop(idle: bool = False, gaps: bool = False) -> str:
     )
 
 
-_CHAIN = """
-    FROM shop_customer c
-    JOIN shop_orders o ON c.customer_id = o.customer_id
-    JOIN shop_items i ON o.order_id = i.order_id
-    JOIN shop_product p ON i.product_id = p.product_id"""
+# Every line with a known product, at its list price, under the customer who ordered it.
+_LISTED = """listed AS (
+    SELECT customer_id, order_id, order_date, order_status, quantity * list_price AS amount
+    FROM shop_items JOIN shop_product USING (product_id) JOIN shop_orders USING (order_id))"""
 
-_LEFT_CHAIN = """
-    FROM shop_customer c
-    LEFT JOIN shop_orders o ON c.customer_id = o.customer_id
-    LEFT JOIN shop_items i ON o.order_id = i.order_id"""
-
-_LIST_AMOUNT = "i.quantity * p.list_price"
-_SALE_AMOUNT = "i.quantity * i.item_list_price_at_sale"
+# What each customer paid at the prices of the day; nothing is 0.
+_PAID = """paid AS (
+    SELECT customer_id, first_name, last_name, wealth_segment, COALESCE(SUM(amount), 0) AS total
+    FROM shop_customer LEFT JOIN (
+        SELECT customer_id, quantity * item_list_price_at_sale AS amount
+        FROM shop_items JOIN shop_orders USING (order_id)) sold USING (customer_id)
+    GROUP BY ALL)"""
 
 _CLIENTS = """
-SELECT job_industry_category, COUNT(*) AS client_count
-FROM shop_customer GROUP BY job_industry_category"""
+SELECT job_industry_category, COUNT(*) AS client_count FROM shop_customer GROUP BY ALL"""
 
 _MONTHLY = f"""
-SELECT CAST(YEAR(CAST(o.order_date AS DATE)) AS INTEGER) AS year,
-       CAST(MONTH(CAST(o.order_date AS DATE)) AS INTEGER) AS month,
-       c.job_industry_category, CAST(SUM({_LIST_AMOUNT}) AS DOUBLE) AS total_revenue
-{_CHAIN}
-WHERE o.order_status = '{STATUS}'
-GROUP BY 1, 2, 3"""
+WITH {_LISTED},
+dated AS (SELECT customer_id, amount, CAST(order_date AS DATE) AS day
+          FROM listed WHERE order_status = '{STATUS}')
+SELECT CAST(DATE_PART('year', day) AS INTEGER) AS year, CAST(DATE_PART('month', day) AS INTEGER) AS month,
+       job_industry_category, CAST(SUM(amount) AS DOUBLE) AS total_revenue
+FROM dated JOIN shop_customer USING (customer_id) GROUP BY ALL"""
 
 _ONLINE = f"""
-SELECT p.brand, COUNT(DISTINCT o.order_id) AS online_orders_count
-FROM shop_product p
-LEFT JOIN shop_items i ON p.product_id = i.product_id
-LEFT JOIN shop_orders o ON i.order_id = o.order_id
-     AND o.online_order = TRUE AND o.order_status = '{STATUS}'
-LEFT JOIN shop_customer c ON o.customer_id = c.customer_id
-     AND c.job_industry_category = '{INDUSTRY}'
-GROUP BY p.brand"""
-
-_ONLINE_ONE_INDUSTRY = _ONLINE.replace(
-    "COUNT(DISTINCT o.order_id)",
-    "COUNT(DISTINCT CASE WHEN c.customer_id IS NOT NULL THEN o.order_id END)",
-)
-
-_GROUPED = f"""
-SELECT c.customer_id, c.first_name, c.last_name,
-       CAST(SUM({_LIST_AMOUNT}) AS DOUBLE) AS total_revenue,
-       CAST(MAX({_LIST_AMOUNT}) AS DOUBLE) AS max_order,
-       CAST(MIN({_LIST_AMOUNT}) AS DOUBLE) AS min_order,
-       COUNT(DISTINCT o.order_id) AS orders_count,
-       CAST(SUM({_LIST_AMOUNT}) AS DOUBLE) / NULLIF(COUNT({_LIST_AMOUNT}), 0) AS avg_order
-{_CHAIN}
-GROUP BY c.customer_id, c.first_name, c.last_name"""
-
-_WINDOWED = f"""
-SELECT DISTINCT c.customer_id, c.first_name, c.last_name,
-       CAST(SUM({_LIST_AMOUNT}) OVER w AS DOUBLE) AS total_revenue,
-       CAST(MAX({_LIST_AMOUNT}) OVER w AS DOUBLE) AS max_order,
-       CAST(MIN({_LIST_AMOUNT}) OVER w AS DOUBLE) AS min_order,
-       COUNT(o.order_id) OVER w AS orders_count,
-       CAST(SUM({_LIST_AMOUNT}) OVER w AS DOUBLE)
-           / NULLIF(COUNT({_LIST_AMOUNT}) OVER w, 0) AS avg_order
-{_CHAIN}
-WINDOW w AS (PARTITION BY c.customer_id)"""
+WITH wanted AS (SELECT order_id FROM shop_orders WHERE online_order AND order_status = '{STATUS}' {{more}}),
+sold AS (SELECT brand, order_id FROM shop_product JOIN shop_items USING (product_id)
+         WHERE order_id IN (FROM wanted)
+         UNION SELECT brand, NULL FROM shop_product)
+SELECT brand, COUNT(order_id) AS online_orders_count FROM sold GROUP BY brand"""
+
+_OF_INDUSTRY = f"""AND customer_id IN (
+    SELECT customer_id FROM shop_customer WHERE job_industry_category = '{INDUSTRY}')"""
+
+_SPEND = f"""
+WITH {_LISTED}
+SELECT customer_id, first_name, last_name, {{orders}} AS orders_count,
+       CAST(SUM(amount) AS DOUBLE) AS total_revenue,
+       MAX(CAST(amount AS DOUBLE)) AS max_order, MIN(CAST(amount AS DOUBLE)) AS min_order,
+       CASE WHEN COUNT(amount) > 0 THEN CAST(SUM(amount) AS DOUBLE) / COUNT(amount) END AS avg_order
+FROM listed JOIN shop_customer USING (customer_id) GROUP BY ALL"""
 
 _SPENDERS = f"""
+WITH {_LISTED},
+totals AS (SELECT customer_id, first_name, last_name, COALESCE(SUM(amount), 0) AS total
+           FROM shop_customer LEFT JOIN listed USING (customer_id) GROUP BY ALL)
 SELECT customer_id, first_name, last_name, CAST(total AS DOUBLE) AS total_amount
-FROM (
-    SELECT c.customer_id, c.first_name, c.last_name,
-           COALESCE(SUM({_LIST_AMOUNT}), 0) AS total
-    {_LEFT_CHAIN}
-    LEFT JOIN shop_product p ON i.product_id = p.product_id
-    GROUP BY c.customer_id, c.first_name, c.last_name) totals
-ORDER BY total DIRECTION, customer_id LIMIT 3"""
+FROM totals ORDER BY total {{direction}}, customer_id LIMIT 3"""
 
 _SECOND = f"""
-SELECT customer_id, first_name, last_name, order_id, order_date,
-       CAST(amount AS DOUBLE) AS transaction_amount
-FROM (
-    SELECT *, ROW_NUMBER() OVER (
-        PARTITION BY customer_id ORDER BY order_date ASC NULLS LAST, order_id) AS num
-    FROM (
-        SELECT c.customer_id, c.first_name, c.last_name, o.order_id, o.order_date,
-               SUM({_LIST_AMOUNT}) AS amount
-        {_CHAIN}
-        GROUP BY c.customer_id, c.first_name, c.last_name, o.order_id, o.order_date) amounts
-) numbered
-WHERE num = 2"""
+WITH {_LISTED},
+bought AS (
+    SELECT customer_id, order_id, order_date, SUM(amount) AS amount FROM listed
+    WHERE customer_id IS NOT NULL GROUP BY ALL),
+seconds AS (
+    SELECT customer_id, LIST(bought ORDER BY order_date NULLS LAST, order_id)[2] AS pick
+    FROM bought GROUP BY customer_id HAVING COUNT(*) > 1)
+SELECT customer_id, first_name, last_name, pick.order_id, pick.order_date,
+       CAST(SUM(pick.amount) AS DOUBLE) AS transaction_amount
+FROM seconds JOIN shop_customer USING (customer_id) GROUP BY ALL"""
 
 _GAP = """
-SELECT customer_id, first_name, last_name, job_title,
-       CAST(MAX(gap) AS INTEGER) AS max_interval_days
-FROM (
-    SELECT c.customer_id, c.first_name, c.last_name, c.job_title,
-           LEAD(CAST(o.order_date AS DATE)) OVER (
-               PARTITION BY c.customer_id ORDER BY CAST(o.order_date AS DATE) NULLS LAST)
-           - CAST(o.order_date AS DATE) AS gap
-    FROM shop_customer c JOIN shop_orders o ON c.customer_id = o.customer_id) gaps
-WHERE gap IS NOT NULL
-GROUP BY customer_id, first_name, last_name, job_title
-HAVING COUNT(*) > 1"""
+WITH days AS (
+    SELECT customer_id, CAST(order_date AS DATE) AS day, COUNT(*) AS orders
+    FROM shop_orders WHERE order_date IS NOT NULL GROUP BY ALL),
+waits AS (
+    SELECT customer_id, orders, COALESCE((
+        SELECT MIN(later.day) FROM days later
+        WHERE later.customer_id = days.customer_id AND later.day > days.day) - day, 0) AS wait
+    FROM days)
+SELECT customer_id, first_name, last_name, job_title, CAST(MAX(wait) AS INTEGER) AS max_interval_days
+FROM waits JOIN shop_customer USING (customer_id) GROUP BY ALL HAVING SUM(orders) >= 3"""
 
 _SEGMENT_LIST = f"""
-SELECT first_name, last_name, wealth_segment, CAST(total AS DOUBLE) AS total_revenue,
-       CAST(num AS INTEGER) AS rank_in_segment
-FROM (
-    SELECT *, ROW_NUMBER() OVER (
-        PARTITION BY wealth_segment
-        ORDER BY total DESC NULLS FIRST, first_name NULLS LAST, last_name NULLS LAST) AS num
-    FROM (
-        SELECT c.first_name, c.last_name, c.wealth_segment, SUM({_LIST_AMOUNT}) AS total
-        {_CHAIN}
-        GROUP BY c.first_name, c.last_name, c.wealth_segment) revenue) ranked
-WHERE num <= 5"""
+WITH {_LISTED},
+named AS (
+    SELECT wealth_segment, first_name, last_name, SUM(amount) AS total
+    FROM listed JOIN shop_customer USING (customer_id) GROUP BY ALL),
+segments AS (
+    SELECT wealth_segment, LIST(named ORDER BY total DESC NULLS FIRST, first_name NULLS LAST, last_name NULLS LAST)[:5] AS best
+    FROM named GROUP BY wealth_segment),
+picks AS (SELECT wealth_segment, UNNEST(best) AS pick, GENERATE_SUBSCRIPTS(best, 1) AS place FROM segments)
+SELECT pick.first_name, pick.last_name, wealth_segment, CAST(pick.total AS DOUBLE) AS total_revenue,
+       CAST(place AS INTEGER) AS rank_in_segment
+FROM picks"""
 
 _EXTREMES = f"""
-SELECT first_name, last_name, CAST(total AS DOUBLE) AS total_amount,
-       CASE WHEN low <= 3 THEN 'TOP-3 MIN' WHEN high <= 3 THEN 'TOP-3 MAX' END AS category
-FROM (
-    SELECT *, ROW_NUMBER() OVER (ORDER BY total, customer_id) AS low,
-           ROW_NUMBER() OVER (ORDER BY total DESC, customer_id) AS high
-    FROM (
-        SELECT c.customer_id, c.first_name, c.last_name,
-               COALESCE(SUM({_SALE_AMOUNT}), 0) AS total
-        {_LEFT_CHAIN}
-        GROUP BY c.customer_id, c.first_name, c.last_name) totals) ranked
-WHERE low <= 3 OR high <= 3"""
+WITH {_PAID},
+lows AS (FROM paid ORDER BY total, customer_id LIMIT 3),
+highs AS (FROM paid ORDER BY total DESC, customer_id LIMIT 3),
+ends AS (
+    SELECT *, 'TOP-3 MIN' AS category FROM lows
+    UNION ALL SELECT *, 'TOP-3 MAX' FROM highs WHERE customer_id NOT IN (SELECT customer_id FROM lows))
+SELECT first_name, last_name, CAST(total AS DOUBLE) AS total_amount, category FROM ends"""
 
 _SEGMENT_SALE = f"""
-SELECT first_name, last_name, wealth_segment, CAST(total AS DOUBLE) AS total_revenue
-FROM (
-    SELECT *, ROW_NUMBER() OVER (
-        PARTITION BY wealth_segment ORDER BY total DESC, customer_id) AS num
-    FROM (
-        SELECT c.customer_id, c.first_name, c.last_name, c.wealth_segment,
-               COALESCE(SUM({_SALE_AMOUNT}), 0) AS total
-        {_LEFT_CHAIN}
-        GROUP BY c.customer_id, c.first_name, c.last_name, c.wealth_segment) revenue) ranked
-WHERE num <= 5"""
+WITH {_PAID},
+segments AS (
+    SELECT wealth_segment, LIST(paid ORDER BY total DESC, customer_id)[:5] AS best
+    FROM paid GROUP BY wealth_segment),
+picks AS (SELECT wealth_segment, UNNEST(best) AS pick FROM segments)
+SELECT pick.first_name, pick.last_name, wealth_segment, CAST(pick.total AS DOUBLE) AS total_revenue
+FROM picks"""
 
 _REPORTS = {
     "clients_by_industry": _CLIENTS,
     "monthly_revenue_by_industry": _MONTHLY,
-    "online_orders_by_brand": _ONLINE,
-    "online_orders_by_brand_one_industry": _ONLINE_ONE_INDUSTRY,
-    "customer_spend_grouped": _GROUPED,
-    "customer_spend_windowed": _WINDOWED,
-    "lowest_spenders": _SPENDERS.replace("DIRECTION", "ASC"),
-    "highest_spenders": _SPENDERS.replace("DIRECTION", "DESC"),
+    "online_orders_by_brand": _ONLINE.format(more=""),
+    "online_orders_by_brand_one_industry": _ONLINE.format(more=_OF_INDUSTRY),
+    "customer_spend_grouped": _SPEND.format(orders="COUNT(DISTINCT order_id)"),
+    "customer_spend_windowed": _SPEND.format(orders="COUNT(*)"),
+    "lowest_spenders": _SPENDERS.format(direction="ASC"),
+    "highest_spenders": _SPENDERS.format(direction="DESC"),
     "second_order": _SECOND,
     "longest_order_gap": _GAP,
     "segment_top5_list_price": _SEGMENT_LIST,
@@ -222,6 +190,18 @@ _REPORTS = {
     "segment_top5_sale_price": _SEGMENT_SALE,
 }
 
+#: The order a report promises, where its own columns settle it.
+ORDERS = {
+    "clients_by_industry": "client_count DESC NULLS FIRST, job_industry_category NULLS LAST",
+    "monthly_revenue_by_industry": "year NULLS LAST, month NULLS LAST, job_industry_category NULLS LAST",
+    "online_orders_by_brand": "online_orders_count DESC NULLS FIRST, brand NULLS LAST",
+    "customer_spend_grouped": "total_revenue DESC NULLS FIRST, orders_count DESC NULLS FIRST, customer_id NULLS LAST",
+    "longest_order_gap": "max_interval_days DESC NULLS FIRST, customer_id NULLS LAST",
+    "segment_top5_list_price": "wealth_segment NULLS LAST, rank_in_segment NULLS LAST",
+}
+
+SAVED = ("spend_extremes", "segment_top5_sale_price")
+
 
 def report_body(report: str) -> str:
     """The query itself, over ``shop_customer``, ``shop_orders``, ``shop_items``, ``shop_product``."""
@@ -229,20 +209,110 @@ def report_body(report: str) -> str:
 
 
 def report_sql(report: str, idle: bool = False, gaps: bool = False) -> str:
-    return f"WITH {_shop(idle, gaps)}\n{_REPORTS[report]}"
+    return f"WITH {_shop(idle, gaps)}\nSELECT * FROM ({_REPORTS[report]}) report"
+
+
+def ordered_sql(report: str) -> str:
+    """The report over tables with gaps, each row with its place in the promised order."""
+    return (
+        f"WITH {_shop(gaps=True)}\n"
+        f"SELECT *, ROW_NUMBER() OVER (ORDER BY {ORDERS[report]}) AS position FROM ({_REPORTS[report]}) report"
+    )
+
+
+_LOADED = {
+    "customer": "*",
+    "orders": "*",
+    "product": "product_id, brand, CAST(list_price AS DOUBLE) AS list_price",
+    "order_items": "order_id, product_id, CAST(quantity AS DOUBLE) AS quantity, "
+    "CAST(item_list_price_at_sale AS DOUBLE) AS item_list_price_at_sale",
+}
 
 
 def table_sql(name: str) -> str:
     """What a loader must return after a round trip of one test table through CSV."""
-    columns = {
-        "customer": "*",
-        "orders": "*",
-        "product": "product_id, brand, CAST(list_price AS DOUBLE) AS list_price",
-        "order_items": "order_id, product_id, CAST(quantity AS DOUBLE) AS quantity, "
-        "CAST(item_list_price_at_sale AS DOUBLE) AS item_list_price_at_sale",
-    }[name]
     source = name.replace("order_items", "items")
-    return f"WITH {_shop()}\nSELECT {columns} FROM shop_{source}"
+    return f"WITH {_shop()}\nSELECT {_LOADED[name]} FROM shop_{source}"
+
+
+_WORDS = ", ".join(f"'{word}'" for word in MISSING)
+
+
+def _spelled(column: str, key: str, every: int, otherwise: str | None = None) -> str:
+    """The text that the messy file of a test table holds."""
+    return (
+        f"IF({key} % {every} = 0, LIST_EXTRACT([{_WORDS}], 1 + {key} % {len(MISSING)}), "
+        f"{otherwise or f'CAST({column} AS VARCHAR)'}) AS {column}"
+    )
+
+
+def _ended(column: str, key: str, *ends: str) -> str:
+    """A whole number with one of several endings."""
+    chosen = ", ".join(f"'{end}'" for end in ends)
+    return f"CAST({column} AS VARCHAR) || LIST_EXTRACT([{chosen}], 1 + {key} % {len(ends)}) AS {column}"
+
+
+_FLAG = "CAST(online_order AS VARCHAR)"
+_QUANTITY = "CAST(CAST(quantity AS BIGINT) AS VARCHAR)"
+_MESSY = {
+    "customer": [
+        _ended("customer_id", "customer_id", "", ".0", ".00"),
+        _spelled("first_name", "customer_id", 13),
+        _spelled("last_name", "customer_id", 3),
+        _spelled("job_title", "customer_id", 5),
+        _spelled("job_industry_category", "customer_id", 7),
+        _spelled("wealth_segment", "customer_id", 11),
+        _spelled("notes", "customer_id", 2, "FORMAT('said \"no; \" {}', customer_id)"),
+    ],
+    "product": [
+        _ended("product_id", "product_id", "", ".0"),
+        _spelled("brand", "product_id", 6),
+        _spelled("list_price", "product_id", 5),
+    ],
+    "orders": [
+        _ended("order_id", "order_id", ".0", "", ".000"),
+        _spelled("customer_id", "order_id", 10, "FORMAT('{}.0', customer_id)"),
+        _spelled("order_date", "order_id", 8),
+        _spelled("order_status", "order_id", 9),
+        _spelled(
+            "online_order", "order_id", 6,
+            f"CASE order_id % 4 WHEN 1 THEN UPPER({_FLAG}[1]) || {_FLAG}[2:] WHEN 2 THEN UPPER({_FLAG}) ELSE {_FLAG} END",
+        ),
+    ],
+    "order_items": [
+        _ended("order_id", "product_id", ".0", ""),
+        _spelled("product_id", "order_id", 13),
+        _spelled(
+            "quantity", "product_id", 10,
+            f"CASE product_id % 3 WHEN 1 THEN {_QUANTITY} WHEN 2 THEN {_QUANTITY} || '.000' ELSE {_QUANTITY} || '.00' END",
+        ),
+        _spelled("item_list_price_at_sale", "order_id", 17),
+    ],
+}
+
+#: How text becomes a value once the words for a missing one are gone.
+_VALUES = {
+    "customer_id": "CAST(CAST({} AS DECIMAL(38,3)) AS BIGINT)",
+    "product_id": "CAST(CAST({} AS DECIMAL(38,3)) AS BIGINT)",
+    "order_id": "CAST(CAST({} AS DECIMAL(38,3)) AS BIGINT)",
+    "quantity": "CAST(CAST({} AS DECIMAL(12,2)) AS DOUBLE)",
+    "list_price": "CAST(CAST({} AS DECIMAL(12,2)) AS DOUBLE)",
+    "item_list_price_at_sale": "CAST(CAST({} AS DECIMAL(12,2)) AS DOUBLE)",
+    "online_order": "LOWER({}) = 'true'",
+}
+
+
+def messy_table_sql(name: str) -> str:
+    """What a loader must return from the messy file of one test table."""
+    columns = [text.rsplit(" AS ", 1)[1] for text in _MESSY[name]]
+    values = [
+        _VALUES.get(c, "{}").format(f"CASE WHEN {c} NOT IN ({_WORDS}) THEN {c} END") + f" AS {c}" for c in columns
+    ]
+    source = name.replace("order_items", "items")
+    return (
+        f"WITH {_shop()},\nfile AS (SELECT {', '.join(_MESSY[name])} FROM shop_{source})\n"
+        f"SELECT {', '.join(values)} FROM file"
+    )
 
 
 def row_counts_sql() -> str:
@@ -257,9 +327,23 @@ def row_counts_sql() -> str:
 
 
 def gate_sql() -> str:
-    counts = "\nUNION ALL ".join(
-        f"SELECT '{report}' AS report, COUNT(*) AS row_count, COUNT(*) > 0 AS passed "
-        f"FROM ({_REPORTS[report]}) saved"
-        for report in ("spend_extremes", "segment_top5_sale_price")
+    """Counts of both saved reports."""
+    return f"WITH {_shop()}\n{_gate({name: _REPORTS[name] for name in SAVED})}"
+
+
+def gate_states_sql(only_failed: bool = False) -> str:
+    """Counts of a full report, one without rows and one never written."""
+    counts = _gate({
+        "full": _REPORTS[SAVED[1]],
+        "empty": f"SELECT * FROM ({_REPORTS[SAVED[1]]}) none WHERE total_revenue < 0",
+        "absent": "SELECT 1 WHERE FALSE",
+    })
+    chosen = "report, row_count FROM states WHERE row_count = 0" if only_failed else "* FROM states"
+    return f"WITH {_shop()},\nstates AS ({counts})\nSELECT {chosen}"
+
+
+def _gate(reports: dict[str, str]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS report, COUNT(*) AS row_count, COUNT(*) > 0 AS passed FROM ({body}) saved"
+        for name, body in reports.items()
     )
-    return f"WITH {_shop()}\n{counts}"

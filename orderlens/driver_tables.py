@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.job import INPUTS
+from orderlens.sources.csv_files import MISSING
 from orderlens.tables import MONEY, ShopTables
 
 STATUS = "F"  # stands for 'Approved'
@@ -59,7 +60,7 @@ def shop_tables(spark: SparkSession, sf_dir: str) -> ShopTables:
             f"CAST(l_quantity AS {_MONEY}) AS quantity",
             f"CAST(l_extendedprice AS {_MONEY}) AS item_list_price_at_sale",
         ),
-        product=table("part").selectExpr(
+        product_cor=table("part").selectExpr(
             "p_partkey AS product_id",
             "p_brand AS brand",
             f"CAST(p_retailprice AS {_MONEY}) AS list_price",
@@ -67,12 +68,67 @@ def shop_tables(spark: SparkSession, sf_dir: str) -> ShopTables:
     )
 
 
+def table_named(tables: ShopTables, name: str) -> DataFrame:
+    """The rows that stand for the input file of that name."""
+    return tables.product_cor if name == "product" else getattr(tables, name)
+
+
 def export_csv(tables: ShopTables, directory: str, name: str) -> None:
     """Write one table the way the job expects its input file."""
-    sep = INPUTS[name][1]
-    getattr(tables, name).write.csv(
-        f"{directory}/{name}.csv", sep=sep, header=True, quote='"', escape='"'
-    )
+    _write_csv(table_named(tables, name), directory, name)
+
+
+def export_messy_csv(tables: ShopTables, directory: str, name: str) -> None:
+    """Write one table with the spellings real files have: every word for a missing value, whole
+    numbers with decimals, flags in any case, and a column nobody declared."""
+    text = table_named(tables, name).select([F.col(c).cast("string") for c in table_named(tables, name).columns])
+    _write_csv(text.selectExpr(*_MESSY[name]), directory, name)
+
+
+def _write_csv(rows: DataFrame, directory: str, name: str) -> None:
+    rows.write.csv(f"{directory}/{name}.csv", sep=INPUTS[name].sep, header=True, quote='"', escape='"')
+
+
+def _blanked(column: str, key: str, every: int, otherwise: str | None = None) -> str:
+    """A word for a missing value in every so many rows, another word each time."""
+    words = ", ".join(f"'{word}'" for word in MISSING)
+    number = f"CAST({key} AS BIGINT)"
+    word = f"element_at(array({words}), CAST({number} % {len(MISSING)} AS INT) + 1)"
+    return f"CASE WHEN {number} % {every} = 0 THEN {word} ELSE {otherwise or column} END AS {column}"
+
+
+_MESSY = {
+    "customer": (
+        "customer_id || element_at(array('', '.0', '.00'), CAST(customer_id % 3 AS INT) + 1) AS customer_id",
+        _blanked("first_name", "customer_id", 13),
+        _blanked("last_name", "customer_id", 3),
+        _blanked("job_title", "customer_id", 5),
+        _blanked("job_industry_category", "customer_id", 7),
+        _blanked("wealth_segment", "customer_id", 11),
+        _blanked("notes", "customer_id", 2, "'said \"no; \" ' || customer_id"),
+    ),
+    "product": (
+        "product_id || element_at(array('', '.0'), CAST(product_id % 2 AS INT) + 1) AS product_id",
+        _blanked("brand", "product_id", 6),
+        _blanked("list_price", "product_id", 5),
+    ),
+    "orders": (
+        "order_id || element_at(array('.0', '', '.000'), CAST(order_id % 3 AS INT) + 1) AS order_id",
+        _blanked("customer_id", "order_id", 10, "customer_id || '.0'"),
+        _blanked("order_date", "order_id", 8),
+        _blanked("order_status", "order_id", 9),
+        _blanked(
+            "online_order", "order_id", 6,
+            "CASE order_id % 4 WHEN 1 THEN initcap(online_order) WHEN 2 THEN upper(online_order) ELSE online_order END",
+        ),
+    ),
+    "order_items": (
+        "order_id || element_at(array('.0', ''), CAST(product_id % 2 AS INT) + 1) AS order_id",
+        _blanked("product_id", "order_id", 13),
+        _blanked("quantity", "product_id", 10, "CASE product_id % 3 WHEN 1 THEN CAST(CAST(quantity AS DOUBLE) AS INT) || '' WHEN 2 THEN quantity || '0' ELSE quantity END"),
+        _blanked("item_list_price_at_sale", "order_id", 17),
+    ),
+}
 
 
 def idle(tables: ShopTables) -> ShopTables:
@@ -98,7 +154,7 @@ def with_gaps(tables: ShopTables) -> ShopTables:
             "order_date": _blank(F.col("order_date"), online),
             "online_order": _blank(online, ~online),
         }),
-        product=tables.product.withColumns({
+        product_cor=tables.product_cor.withColumns({
             "brand": _blank(brand, brand == "Brand#1"),
             "list_price": _blank(price, price < 950),
         }),

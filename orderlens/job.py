@@ -1,14 +1,17 @@
 """The daily run: load four files, write two reports, check that neither is empty.
 
-    python -m orderlens.job <input directory> <output directory>
+    python -m orderlens.job <input directory> <output directory> [--multi-line <table> ...]
 """
 
 from __future__ import annotations
 
+import argparse
 import logging
-import sys
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from orderlens.plans import reports
 from orderlens.quality import report_counts, require_non_empty
@@ -17,26 +20,52 @@ from orderlens.tables import CUSTOMER, ORDER_ITEMS, ORDERS, PRODUCT
 
 log = logging.getLogger(__name__)
 
-# name -> declared columns, separator, and whether every declared column must be present
-INPUTS = {
-    "customer": (CUSTOMER, ";", True),
-    "product": (PRODUCT, ",", False),
-    "orders": (ORDERS, ",", True),
-    "order_items": (ORDER_ITEMS, ",", True),
+
+@dataclass(frozen=True)
+class Input:
+    """How one input file is read.
+
+    ``require_all``: every declared column must be present. ``multi_line``: quoted fields may hold
+    line breaks; such a file is read by one task, however large, so it has to be asked for.
+    """
+
+    schema: T.StructType
+    sep: str = ","
+    require_all: bool = True
+    multi_line: bool = False
+
+
+INPUTS: Mapping[str, Input] = {
+    "customer": Input(CUSTOMER, sep=";"),
+    "product": Input(PRODUCT, require_all=False),
+    "orders": Input(ORDERS),
+    "order_items": Input(ORDER_ITEMS),
 }
 
 
-def load_input(spark: SparkSession, in_dir: str, name: str) -> DataFrame:
+def with_line_breaks(names: Sequence[str], inputs: Mapping[str, Input] = INPUTS) -> Mapping[str, Input]:
+    """The inputs, those named read with line breaks inside quotes."""
+    unknown = sorted(set(names) - set(inputs))
+    if unknown:
+        raise ValueError(f"no such input: {', '.join(unknown)}")
+    return {name: replace(file, multi_line=file.multi_line or name in names) for name, file in inputs.items()}
+
+
+def load_input(
+    spark: SparkSession, in_dir: str, name: str, inputs: Mapping[str, Input] = INPUTS
+) -> DataFrame:
     """The input file ``<name>.csv`` (or a directory of that name) with its declared types."""
-    schema, sep, require_all = INPUTS[name]
-    return load_csv(spark, f"{in_dir}/{name}.csv", schema, sep, require_all)
+    file = inputs[name]
+    return load_csv(spark, f"{in_dir}/{name}.csv", file.schema, file.sep, file.require_all, file.multi_line)
 
 
-def load_tables(spark: SparkSession, in_dir: str, table_dir: str) -> dict[str, int]:
+def load_tables(
+    spark: SparkSession, in_dir: str, table_dir: str, inputs: Mapping[str, Input] = INPUTS
+) -> dict[str, int]:
     """Replace all four tables from their files; returns the row count of each."""
     counts = {}
-    for name in INPUTS:
-        counts[name] = save_table(load_input(spark, in_dir, name), f"{table_dir}/{name}")
+    for name in inputs:
+        counts[name] = save_table(load_input(spark, in_dir, name, inputs), f"{table_dir}/{name}")
         log.info("loaded %d rows into %s", counts[name], name)
     return counts
 
@@ -61,20 +90,28 @@ def write_reports(spark: SparkSession, table_dir: str, out_dir: str) -> DataFram
     return report_counts(spark, saved)
 
 
-def run_job(spark: SparkSession, in_dir: str, out_dir: str) -> DataFrame:
-    """The whole run; raises ``ValueError`` if a report came out empty."""
-    load_tables(spark, in_dir, f"{out_dir}/tables")
+def run_job(
+    spark: SparkSession, in_dir: str, out_dir: str, inputs: Mapping[str, Input] = INPUTS
+) -> DataFrame:
+    """The whole run; raises ``EmptyReports`` if a report came out empty."""
+    load_tables(spark, in_dir, f"{out_dir}/tables", inputs)
     counts = write_reports(spark, f"{out_dir}/tables", out_dir)
     require_non_empty(counts)
     return counts
 
 
-def main() -> None:
+def main(arguments: Sequence[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
-    if len(sys.argv) != 3:
-        sys.exit("usage: python -m orderlens.job <input directory> <output directory>")
+    parser = argparse.ArgumentParser(prog="python -m orderlens.job", description=__doc__.split("\n")[0])
+    parser.add_argument("in_dir", help="folder of the four CSV files")
+    parser.add_argument("out_dir", help="folder of the tables and reports")
+    parser.add_argument(
+        "--multi-line", action="append", default=[], choices=INPUTS, metavar="TABLE",
+        help="this file has line breaks inside quotes (repeatable)",
+    )
+    given = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("sales-and-customers").getOrCreate()
-    run_job(spark, *sys.argv[1:]).show(truncate=False)
+    run_job(spark, given.in_dir, given.out_dir, with_line_breaks(given.multi_line)).show(truncate=False)
 
 
 if __name__ == "__main__":

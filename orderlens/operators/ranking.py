@@ -8,10 +8,13 @@ of the whole table in every task before the merge (``TakeOrderedAndProject``).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.workspace import stored
+
 
 def first_n(rows: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return rows.orderBy(*order).limit(n)
@@ -58,3 +61,20 @@ def both_ends(
         .withColumn(into, F.when(is_low, low_label).when(~is_low, high_label))
         .drop("_low")
     )
+
+
+def numbered(rows: DataFrame, into: str = "position") -> DataFrame:
+    """The rows with their place, from 1, in the order they come in.
+
+    A sorted table lies in partitions that follow each other, so that a row's place is its place in
+    its partition and the rows of the partitions before; only these counts, one per partition, are
+    gathered. The rows are stored first: places hold for one arrangement of them.
+    """
+    placed = stored(rows.withColumn("_place", F.monotonically_increasing_id()), "ordered")
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("rows")).orderBy("_part").collect()
+    ends = list(accumulate(row.rows for row in counts))
+    before = [(row._part, end - row.rows) for row, end in zip(counts, ends)]
+    within = F.col("_place").bitwiseAND((1 << 33) - 1)
+    offsets = rows.sparkSession.createDataFrame(before, "_part BIGINT, _before BIGINT")
+    return placed.join(F.broadcast(offsets), "_part").select(*rows.columns, (F.col("_before") + within + 1).alias(into))

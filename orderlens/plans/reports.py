@@ -62,7 +62,7 @@ def monthly_revenue_by_industry(tables: ShopTables, status: str = "Approved") ->
     return (
         orders.join(tables.customer.select("customer_id", keys[-1]), "customer_id")
         .join(tables.order_items.select("order_id", "product_id", "quantity"), "order_id")
-        .join(tables.product.select("product_id", LIST_PRICE), "product_id")
+        .join(_products(tables).select("product_id", LIST_PRICE), "product_id")
         .groupBy(keys)
         .agg(as_double(F.sum(line_amount(LIST_PRICE))).alias("total_revenue"))
         .orderBy(*ascending(*keys))
@@ -81,7 +81,7 @@ def online_orders_by_brand(
     if only_industry is not None:
         clients = tables.customer.filter(F.col("job_industry_category") == only_industry)
         wanted = wanted.join(clients.select("customer_id"), "customer_id", "left_semi")
-    brands = tables.product.select("product_id", "brand")
+    brands = _products(tables).select("product_id", "brand")
     sold = (
         tables.order_items.select("order_id", "product_id")
         .join(wanted.select("order_id"), "order_id", "left_semi")
@@ -254,8 +254,14 @@ def segment_top5_of(spend: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
+def _products(tables: ShopTables) -> DataFrame:
+    if tables.product_cor is None:
+        raise ValueError("this report needs the corrected product list (product_cor)")
+    return tables.product_cor
+
+
 def _list_price_totals(tables: ShopTables) -> DataFrame:
-    return order_totals(tables.order_items, LIST_PRICE, tables.product)
+    return order_totals(tables.order_items, LIST_PRICE, _products(tables))
 
 
 def _list_price_spend(tables: ShopTables) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -10,7 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.sources import read_report
+from orderlens.sources import read_report, report_folder
+
+
+class EmptyReports(ValueError):
+    """Reports without rows; ``failed`` holds their names and row counts."""
+
+    def __init__(self, failed: Sequence[tuple[str, int]]) -> None:
+        super().__init__(f"reports with 0 rows: {', '.join(name for name, _ in failed)}")
+        self.failed = list(failed)
 
 
 def report_counts(
@@ -29,17 +37,23 @@ def report_counts(
     return reduce(DataFrame.unionAll, counts)
 
 
+def failures(counts: DataFrame) -> DataFrame:
+    """``(report, row_count)`` of the reports that did not pass."""
+    return counts.filter(~F.col("passed")).select("report", "row_count")
+
+
 def require_non_empty(counts: DataFrame) -> None:
-    """Raise ``ValueError`` naming every report without rows."""
-    failed = [row.report for row in counts.filter(~F.col("passed")).collect()]
+    """Raise ``EmptyReports`` naming every report without rows."""
+    failed = [(row.report, row.row_count) for row in failures(counts).collect()]
     if failed:
-        raise ValueError(f"reports with 0 rows: {', '.join(failed)}")
+        raise EmptyReports(failed)
 
 
 def _saved_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
-        return read_report(spark, path, schema)
+        report_folder(spark, path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.range(0)
+    return read_report(spark, path, schema)

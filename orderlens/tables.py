@@ -1,7 +1,7 @@
 """The four logical tables the reports read, and their declared column types.
 
 ``customer_id``, ``order_id`` and ``product_id`` are each unique in their own table
-(``customer``, ``orders``, ``product``); the reports join on them and say where more
+(``customer``, ``orders``, ``product_cor``); the reports join on them and say where more
 is assumed.
 """
 
@@ -49,11 +49,11 @@ PRODUCT = T.StructType([
 class ShopTables:
     """One DataFrame per logical table.
 
-    ``product`` is the corrected product list (one row per ``product_id``). Only the
-    list-price and brand reports read it.
+    ``product_cor`` is the corrected product list, one row per ``product_id``; the product table
+    as loaded is not. Only the list-price and brand reports read it.
     """
 
     customer: DataFrame
     orders: DataFrame
     order_items: DataFrame
-    product: DataFrame | None = None
+    product_cor: DataFrame | None = None

@@ -17,7 +17,7 @@ DAYS = ["2020-01-01", "2020-01-02", "2020-02-29", "2021-12-31", None]
 
 VIEWS = {
     "shop_customer": "customer", "shop_orders": "orders", "shop_items": "order_items",
-    "shop_product": "product",
+    "shop_product": "product_cor",
 }
 
 

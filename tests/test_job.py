@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pathlib import Path
 from unittest.mock import Mock
 
 import pytest
 
-from orderlens.driver_tables import export_csv, shop_tables
-from orderlens.job import INPUTS, load_tables, run_job, write_reports
+from orderlens.driver_tables import export_csv, shop_tables, table_named
+from orderlens.job import INPUTS, load_input, load_tables, main, run_job, with_line_breaks, write_reports
 from orderlens.plans import reports
-from orderlens.quality import report_counts, require_non_empty
+from orderlens.quality import EmptyReports, failures, report_counts, require_non_empty
 from orderlens.sources import read_report, save_report
 from orderlens.workspace import new_directory
 
@@ -37,8 +36,10 @@ def test_gate_counts_rows_and_treats_an_absent_report_as_empty(spark, saved):
 
 
 def test_gate_names_every_failed_report(spark, saved):
-    with pytest.raises(ValueError, match="^reports with 0 rows: empty, absent$"):
+    with pytest.raises(EmptyReports, match="^reports with 0 rows: empty, absent$") as raised:
         require_non_empty(report_counts(spark, saved))
+    assert raised.value.failed == [("empty", 0), ("absent", 0)]
+    assert sorted(map(tuple, failures(report_counts(spark, saved)).collect())) == [("absent", 0), ("empty", 0)]
     require_non_empty(report_counts(spark, {"full": saved["full"]}))
 
 
@@ -66,8 +67,8 @@ def test_run_writes_both_reports_from_files(spark, tmp_path, rows):
 def test_run_fails_when_the_reports_are_empty(spark, tmp_path):
     tables = shop_tables(spark, DATA)
     for name in INPUTS:
-        frame = getattr(tables, name).limit(0)
-        frame.write.csv(str(tmp_path / "in" / f"{name}.csv"), sep=INPUTS[name][1], header=True)
+        frame = table_named(tables, name).limit(0)
+        frame.write.csv(str(tmp_path / "in" / f"{name}.csv"), sep=INPUTS[name].sep, header=True)
     with pytest.raises(ValueError, match="spend_extremes, segment_top5_sale_price"):
         run_job(spark, str(tmp_path / "in"), str(tmp_path / "out"))
 
@@ -79,7 +80,7 @@ def test_a_second_run_replaces_the_first(spark, tmp_path):
     out = str(tmp_path / "out")
     first = load_tables(spark, str(tmp_path / "in"), f"{out}/tables")
     assert load_tables(spark, str(tmp_path / "in"), f"{out}/tables") == first
-    assert first == {name: getattr(tables, name).count() for name in INPUTS}
+    assert first == {name: table_named(tables, name).count() for name in INPUTS}
     for _ in range(2):
         assert {row.row_count for row in write_reports(spark, f"{out}/tables", out).collect()} == {6, 15}
 
@@ -91,8 +92,46 @@ def test_top_spenders_reappear_among_the_best_of_their_segment(spark, rows):
     assert len(top) == 3 and set(top) <= best
 
 
-def test_work_directories_follow_the_session(spark, tmp_path):
-    other = Mock(conf={"spark.checkpoint.dir": "hdfs://shared/work/"})
-    one, two = new_directory(other, "x"), new_directory(other, "x")
+@pytest.fixture
+def broken_lines(spark, tmp_path):
+    """Input files of the smallest data, one customer's name running over two lines."""
+    tables = shop_tables(spark, DATA)
+    for name in INPUTS:
+        export_csv(tables, str(tmp_path / "in"), name)
+    part = tmp_path / "in" / "customer.csv" / "part-extra.csv"
+    part.write_text(
+        "customer_id;first_name;last_name;job_title;job_industry_category;wealth_segment\n"
+        '999999;"Ann\nMarie";"said ""hi"";";Clerk;IT;Mass Customer\n'
+    )
+    return tmp_path
+
+
+def test_the_run_takes_line_breaks_inside_quotes_where_told(spark, broken_lines, rows):
+    source, out = str(broken_lines / "in"), str(broken_lines / "out")
+    with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
+        run_job(spark, source, out)
+    inputs = with_line_breaks(["customer"])
+    assert run_job(spark, source, out, inputs).count() == 2
+    ann = load_input(spark, source, "customer", inputs).filter("customer_id = 999999")
+    assert rows(ann) == [(999999, "Ann\nMarie", 'said "hi";', "Clerk", "IT", "Mass Customer")]
+    spend = spark.read.parquet(str(broken_lines / "out" / "tables" / "customer_spend" / "v*"))
+    assert spend.filter("customer_id = 999999").count() == 1
+    with pytest.raises(ValueError, match="no such input: clients"):
+        with_line_breaks(["clients"])
+
+
+def test_the_command_line_passes_the_options_on(spark, broken_lines):
+    main([str(broken_lines / "in"), str(broken_lines / "out"), "--multi-line", "customer"])
+    assert report_counts(spark, {"x": (str(broken_lines / "out" / "spend_extremes"), reports.spend_extremes(shop_tables(spark, DATA)).schema)}).first().row_count == 6
+    with pytest.raises(SystemExit):
+        main([str(broken_lines / "in")])
+
+
+def test_work_directories_follow_the_session():
+    def session(**conf):
+        return Mock(conf={k.replace("__", "."): v for k, v in conf.items()})
+
+    shared = session(spark__checkpoint__dir="hdfs://shared/work/", spark__sql__warehouse__dir="hdfs://house")
+    one, two = new_directory(shared, "x"), new_directory(shared, "x")
     assert one != two and one.startswith("hdfs://shared/work/orderlens/")
-    assert Path(new_directory(Mock(conf={}), "x")).is_dir()
+    assert new_directory(session(spark__sql__warehouse__dir="hdfs://house"), "x").startswith("hdfs://house/orderlens/")

@@ -114,7 +114,7 @@ def test_hot_products_orders_and_customers_are_split(spark, settings, big_tables
     )
     stored = {}
     for name, frame in {
-        "customer": customer, "orders": orders, "order_items": items, "product": product,
+        "customer": customer, "orders": orders, "order_items": items, "product_cor": product,
     }.items():
         frame.write.parquet(str(tmp_path / name))
         stored[name] = spark.read.parquet(str(tmp_path / name))

@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from pathlib import Path
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.functions.dates import as_day
+from orderlens.plans import reports
 from orderlens.sources import (
     load_csv,
     name_tables,
     open_table,
     open_tables,
     read_report,
+    report_folder,
+    save_product_cor,
     save_report,
     save_table,
+    versions,
 )
 from orderlens.sources.csv_files import MISSING
 from orderlens.tables import CUSTOMER, ORDER_ITEMS, ORDERS, PRODUCT
@@ -147,18 +153,56 @@ def test_a_directory_of_files_is_one_table_and_headers_must_agree(spark, tmp_pat
 def test_saving_replaces_the_table_and_counts_its_rows(spark, shop, tmp_path, rows):
     first = shop(product=[(1, "A", 1), (2, "B", None), (3, None, 2)])
     path = str(tmp_path / "product")
-    assert save_table(first.product, path) == 3
-    assert save_table(shop(product=[(9, "Z", 4)]).product, path) == 1
+    assert save_table(first.product_cor, path) == 3
+    assert save_table(shop(product=[(9, "Z", 4)]).product_cor, path) == 1
     assert rows(open_table(spark, path)) == [(9, "Z", Decimal("4.00"))]
-    assert save_table(shop().product, path) == 0
+    assert save_table(shop().product_cor, path) == 0
 
 
 def test_stored_tables_open_by_name(spark, shop, tmp_path):
     tables = shop(product=[(1, "A", 1)])
-    for name in ("customer", "orders", "order_items", "product"):
+    for name in ("customer", "orders", "order_items"):
         save_table(getattr(tables, name), str(tmp_path / name))
+    save_table(tables.product_cor.unionAll(tables.product_cor), str(tmp_path / "product"))
     opened = open_tables(spark, str(tmp_path))
-    assert opened.product.count() == 1 and opened.customer.schema == tables.customer.schema
+    assert opened.product_cor is None and opened.customer.schema == tables.customer.schema
+    with pytest.raises(ValueError, match="corrected product list"):
+        reports.online_orders_by_brand(opened)
+    save_product_cor(tables.product_cor, str(tmp_path))
+    assert open_tables(spark, str(tmp_path), product_cor="product_cor").product_cor.count() == 1
+
+
+def test_a_repeated_product_is_never_stored_as_corrected(spark, shop, tmp_path, rows):
+    good = shop(product=[(1, "A", 1), (2, "B", 2), (None, "C", 3), (None, "C", 3)]).product_cor
+    assert save_product_cor(good.withColumn("colour", F.lit("red")), str(tmp_path)) == 4
+    twice = shop(product=[(7, "A", 1), (7, "B", 2), (8, "A", 1), (9, None, None), (9, None, None)]).product_cor
+    with pytest.raises(ValueError, match=r"\(product_id\) is not unique: \(7,\) in 2 rows; \(9,\) in 2 rows"):
+        save_product_cor(twice, str(tmp_path))
+    kept = open_table(spark, str(tmp_path / "product_cor"))
+    assert kept.columns == PRODUCT.names and {r[0] for r in rows(kept)} == {1, 2, None}
+    assert len(list((tmp_path / "product_cor").glob("v*"))) == 1
+
+
+def test_a_constraint_may_span_columns(spark, shop, tmp_path):
+    items = shop(items=[(1, 1, 1, 1), (1, 2, 1, 1), (2, 1, 1, 1)]).order_items
+    assert save_table(items, str(tmp_path / "t"), unique=("order_id", "product_id")) == 3
+    with pytest.raises(ValueError, match="order_id"):
+        save_table(items, str(tmp_path / "t"), unique=("order_id",))
+
+
+def test_old_versions_go_after_the_switch(spark, shop, tmp_path, rows):
+    path = str(tmp_path / "product")
+    reader = None
+    for k in range(5):
+        save_table(shop(product=[(k, "A", 1)]).product_cor, path)
+        if reader is not None:  # opened before this load, still readable after it
+            assert rows(reader)[0][0] == k - 1
+        reader = open_table(spark, path)
+    assert len(versions(spark, path)) == 2 and len(list((tmp_path / "product").glob("v*"))) == 2
+    save_table(shop(product=[(9, "A", 1)]).product_cor, path, keep=1)
+    assert len(list((tmp_path / "product").glob("v*"))) == 1 and rows(open_table(spark, path))[0][0] == 9
+    with pytest.raises(ValueError, match="at least one"):
+        save_table(shop().product_cor, path, keep=0)
 
 
 def test_named_tables_answer_sql(spark, shop, rows):
@@ -173,9 +217,9 @@ def test_reports_round_trip_in_order_with_plain_numbers_and_empty_nulls(spark, t
     report = spark.createDataFrame(data, schema).coalesce(1)
     path = tmp_path / "report"
     save_report(report, str(path))
-    files = list(path.glob("part-*.csv"))
+    files = list(Path(report_folder(spark, str(path))).glob("part-*.csv"))
     assert len(files) == 1
-    assert files[0].read_text().splitlines()[:2] == ["name,segment,total", "b,,12345678.9000"]
+    assert files[0].read_text().splitlines()[:2] == ["name,segment,total", "b,,12345678.9"]
     assert rows(read_report(spark, str(path), report.schema)) == data
     as_pandas = pd.read_csv(files[0])
     assert list(as_pandas["total"]) == [12345678.9, 0.0, 2.5]
@@ -185,14 +229,14 @@ def test_reports_round_trip_in_order_with_plain_numbers_and_empty_nulls(spark, t
 def test_an_ordered_small_report_becomes_one_file(spark, tmp_path):
     report = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count().orderBy("k")
     save_report(report, str(tmp_path / "report"))
-    files = list((tmp_path / "report").glob("part-*.csv"))
+    files = list(Path(report_folder(spark, str(tmp_path / "report"))).glob("part-*.csv"))
     assert len(files) == 1
     assert [line.split(",")[0] for line in files[0].read_text().splitlines()[1:]] == list("0123456")
 
 
 def test_failed_load_leaves_the_table(spark, shop, rows, tmp_path):
     path = str(tmp_path / "product")
-    save_table(shop(product=[(1, "Z", 4)]).product, path)
+    save_table(shop(product=[(1, "Z", 4)]).product_cor, path)
     bad = spark.range(3).selectExpr("if(id = 2, raise_error('bad row'), id) AS product_id")
     with pytest.raises(Exception, match="bad row"):
         save_table(bad, path)
@@ -205,7 +249,43 @@ def test_doubles_keep_all_digits(spark, rows, tmp_path):
     save_report(frame, str(tmp_path / "r"))
     back = [r[0] for r in rows(read_report(spark, str(tmp_path / "r"), frame.schema))]
     assert sorted(map(str, back)) == sorted(map(str, numbers))
-    assert any("12345678.9\n" in f.read_text() for f in (tmp_path / "r").glob("*.csv"))
+    assert any("12345678.9\n" in f.read_text() for f in (tmp_path / "r").glob("v*/*.csv"))
+
+
+@pytest.mark.parametrize(
+    "schema,data",
+    [
+        ("x double", [(None,), (1.5,), (None,), (None,)]),
+        ("x long", [(None,), (None,)]),
+        ("x boolean", [(True,), (None,)]),
+        ("x string", [(None,), ("a",), ("null",), ("NULL",), ('""',), ('"',), (" ",), (None,)]),
+        ("x date", [(None,)]),
+        ("x decimal(12,2)", [(None,), (Decimal("1.50"),)]),
+        ("x string, y string", [(" a ", "\tb"), (None, None), (" ", None)]),
+        ("x string, y double", [(None, None), ("a", None), (None, 1.0), (None, None)]),
+    ],
+)
+def test_rows_of_nulls_only_come_back(spark, rows, tmp_path, schema, data):
+    save_report(spark.createDataFrame(data, schema).coalesce(1), str(tmp_path / "r"))
+    back = read_report(spark, str(tmp_path / "r"), spark.createDataFrame([], schema).schema)
+    assert rows(back) == data
+
+
+def test_an_empty_text_is_a_missing_one(spark, rows, tmp_path):
+    save_report(spark.createDataFrame([("",), ("a",)], "x string").coalesce(1), str(tmp_path / "r"))
+    assert rows(read_report(spark, str(tmp_path / "r"), spark.createDataFrame([], "x string").schema)) == [(None,), ("a",)]
+
+
+def test_a_failed_report_leaves_the_old_one(spark, rows, tmp_path):
+    path = str(tmp_path / "r")
+    save_report(spark.range(3), path)
+    bad = spark.range(5).selectExpr("if(id = 4, raise_error('no report'), id) AS id")
+    with pytest.raises(Exception, match="no report"):
+        save_report(bad, path)
+    assert sorted(rows(read_report(spark, path, spark.range(1).schema))) == [(0,), (1,), (2,)]
+    assert len(list((tmp_path / "r").glob("v*"))) == 1
+    save_report(spark.range(1), path)
+    assert rows(read_report(spark, path, spark.range(1).schema)) == [(0,)]
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
@@ -215,3 +295,16 @@ def test_dates_fail_in_both_modes(spark, settings, rows, ansi):
     assert [str(r[0]) for r in rows(good)] == ["2020-01-31", "None"]
     with pytest.raises(Exception, match="not a date"):
         spark.createDataFrame([("2020-13-45",)], "d string").select(as_day("d")).collect()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("text", ["2020", "2020-01", "2020-01-31 07:00", "2020-01-31T07:00:00", "2020-01-32", "", "31.01.2020", "12020-01-31", "-2020-01-31"])
+def test_only_full_dates_are_dates(spark, settings, text, ansi):
+    settings(spark__sql__ansi__enabled=ansi)
+    with pytest.raises(Exception, match="not a date"):
+        spark.createDataFrame([(text,)], "d string").select(as_day("d")).collect()
+
+
+@pytest.mark.parametrize("text", ["2020-02-29", "2020-2-29", " 2020-02-29 "])
+def test_spellings_of_a_full_date(spark, rows, text):
+    assert str(rows(spark.createDataFrame([(text,)], "d string").select(as_day("d")))[0][0]) == "2020-02-29"
