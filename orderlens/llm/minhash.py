@@ -42,6 +42,8 @@ LIKELY = PERCENT / 100 - 6 * (PERCENT / 100 * (1 - PERCENT / 100) / MINIMA) ** 0
 BLOCK = 1 << 14
 #: What one task compares: so many signatures, or so many sets and bytes of shingles (a single set may be larger).
 MOST_SIGNATURES, MOST_SETS, MOST_BYTES = 8192, 4096, 16 << 20
+#: Signatures of small buckets compared in one call, some more or less.
+SHELF = 4096
 
 _rng = np.random.default_rng(11)
 _A = _rng.integers(0, 1 << 64, MINIMA, dtype=np.uint64) | np.uint64(1)
@@ -154,25 +156,35 @@ def _numbered(names: list[bytes]) -> np.ndarray:
     return np.array([first.setdefault(name, k) for k, name in enumerate(names)], np.int64)
 
 
-def _unsettled(group: pd.DataFrame) -> pd.DataFrame:
-    """Sets with a likely partner in another component, and the smallest component they are tied to."""
-    group = group.sort_values(["n", "set_name"], ignore_index=True).drop_duplicates("set_name", ignore_index=True)
-    signature, n = _signatures(group["signature"].tolist()), group["n"].to_numpy()
-    component = _numbered(group["component"].tolist())
-    ties, tied = _Groups(component), np.zeros(len(group), bool)
+def _tied(signature: np.ndarray, n: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which sets, sorted by size, have a likely partner in another component; and their ties between components."""
+    ties, tied = _Groups(component), np.zeros(len(n), bool)
     smallest = np.searchsorted(n, -(-PERCENT * n // 100))
-    for x in range(len(group)):
+    for x in range(1, len(n)):
         other = np.flatnonzero(component[smallest[x] : x] != component[x]) + smallest[x]
         near = other[(signature[other] == signature[x]).mean(axis=1) >= LIKELY] if len(other) else other
         if len(near):
             tied[x] = tied[near] = True
             for y in np.unique(component[near]):
                 ties.join(x, int(y))
-    names = group["component"].to_numpy(object)
-    least = {t: min(names[ties.of == t]) for t in np.unique(ties.of[tied])}
-    return pd.DataFrame({
-        "set_name": group["set_name"][tied], "component": group["component"][tied], "tie": [least[t] for t in ties.of[tied]],
-    })
+    return tied, ties.of
+
+
+def _unsettled(group: pd.DataFrame) -> pd.DataFrame:
+    """Sets with a likely partner in their bucket and another component, and the smallest component they are tied to."""
+    group = group.sort_values(["band", "n", "set_name"], ignore_index=True).drop_duplicates(["band", "set_name"], ignore_index=True)
+    signature, n = _signatures(group["signature"].tolist()), group["n"].to_numpy()
+    band, names = group["band"].to_numpy(), group["component"].to_numpy(object)
+    begins = np.flatnonzero(np.diff(band, prepend=band[0] - 1 if len(band) else 0))
+    out: list[tuple[bytes, bytes, bytes]] = []
+    sets = group["set_name"].to_numpy(object)
+    for a, b in zip(begins, np.append(begins[1:], len(band))):
+        tied, ties = _tied(signature[a:b], n[a:b], _numbered(names[a:b].tolist()))
+        least: dict[int, bytes] = {}
+        for t, name in zip(ties, names[a:b]):
+            least[t] = min(name, least.get(t, name))
+        out += [(sets[a + k], names[a + k], least[ties[k]]) for k in np.flatnonzero(tied)]
+    return pd.DataFrame(out, columns=["set_name", "component", "tie"])
 
 
 def confirmed(sets: list[np.ndarray], component: np.ndarray, signature: np.ndarray) -> list[tuple[int, int]]:
@@ -213,7 +225,7 @@ def _dealt(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
     dealt = rows.join(blocks, key).withColumn("own", F.pmod(F.xxhash64("set_name"), "blocks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    return dealt.drop("own", "other", "blocks")
+    return dealt.drop("own", "other")
 
 
 def _star_links(stars: DataFrame, reps: DataFrame, full: DataFrame) -> DataFrame:
@@ -242,9 +254,14 @@ def _family_links(members: DataFrame, reps: DataFrame, full: DataFrame, roots: D
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.ceil(F.count("*") / MOST_SIGNATURES).cast("int").alias("blocks"),
     ).where("low <> high").select("band", "blocks")
-    left = _dealt(placed, "band", open_bands).join(signed, "set_name")
+    left = stored(_dealt(placed, "band", open_bands).join(signed, "set_name"), "minhash-unsettled")
+    # most buckets hold a few sets: those of one block are compared by the shelf
+    shelves = -(-left.where("blocks = 1").count() // SHELF) or 1
+    alone = F.when(F.col("blocks") > 1, F.col("band"))
+    shelf = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("band"), F.lit(shelves)))
     ties = stored(
-        left.groupBy("band", "i", "j").applyInPandas(_unsettled, "set_name binary, component binary, tie binary").distinct(),
+        left.groupBy(alone.alias("alone"), shelf.alias("shelf"), "i", "j")
+        .applyInPandas(_unsettled, "set_name binary, component binary, tie binary").distinct(),
         "minhash-ties",
     )
     families = components(ties.select(F.col("component").alias("a"), F.col("tie").alias("b")))
