@@ -70,11 +70,11 @@ def numbered(rows: DataFrame, into: str = "position") -> DataFrame:
     its partition and the rows of the partitions before; only these counts, one per partition, are
     gathered. The rows are stored first: places hold for one arrangement of them.
     """
-    placed = stored(rows.withColumn("_place", F.monotonically_increasing_id()), "ordered")
-    placed = placed.withColumn("_part", F.shiftright("_place", 33))
-    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("rows")).orderBy("_part").collect()
-    ends = list(accumulate(row.rows for row in counts))
-    before = [(row._part, end - row.rows) for row, end in zip(counts, ends)]
-    within = F.col("_place").bitwiseAND((1 << 33) - 1)
-    offsets = rows.sparkSession.createDataFrame(before, "_part BIGINT, _before BIGINT")
-    return placed.join(F.broadcast(offsets), "_part").select(*rows.columns, (F.col("_before") + within + 1).alias(into))
+    whole = rows.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("place"))
+    placed = stored(whole, "ordered").withColumn("part", F.shiftright("place", 33))
+    counts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("rows")).orderBy("part").collect()
+    ends = accumulate(row.rows for row in counts)
+    before = [(row.part, end - row.rows) for row, end in zip(counts, ends)]
+    offsets = rows.sparkSession.createDataFrame(before, "part BIGINT, before BIGINT")
+    position = F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1) + 1
+    return placed.join(F.broadcast(offsets), "part").select("row.*", position.alias(into))

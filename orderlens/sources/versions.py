@@ -15,6 +15,8 @@ from uuid import uuid4
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.workspace import remove_directory
+
 #: Versions that stay: the current one, and those that readers may still be reading.
 KEPT = 2
 
@@ -40,13 +42,13 @@ def replace_content(
         if check is not None:
             check(folder)
     except Exception:
-        _remove(spark, folder)
+        remove_directory(spark, folder)
         raise
     spark.range(1).select(F.lit(version).alias("version")).write.parquet(f"{path}/log/{version}")
     for old in sorted(_finished(spark, path))[:-keep]:
         # the entry first: a version that has one is complete
-        _remove(spark, f"{path}/log/{old}")
-        _remove(spark, f"{path}/{old}")
+        remove_directory(spark, f"{path}/log/{old}")
+        remove_directory(spark, f"{path}/{old}")
 
 
 def current_folder(spark: SparkSession, path: str) -> str:
@@ -62,8 +64,3 @@ def versions(spark: SparkSession, path: str) -> list[str]:
 def _finished(spark: SparkSession, path: str) -> list[str]:
     log = spark.read.schema("version string").option("recursiveFileLookup", True).parquet(f"{path}/log")
     return [row.version for row in log.collect()]  # a few names
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -27,3 +27,14 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     path = new_directory(frame.sparkSession, label)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def remove_directory(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store its path names, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete everything this application stored on the way; for when no result is read any more."""
+    remove_directory(spark, application_directory(spark))

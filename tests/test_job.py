@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pathlib import Path
 from unittest.mock import Mock
 
 import pytest
@@ -11,7 +12,7 @@ from orderlens.job import INPUTS, load_input, load_tables, main, run_job, with_l
 from orderlens.plans import reports
 from orderlens.quality import EmptyReports, failures, report_counts, require_non_empty
 from orderlens.sources import read_report, save_report
-from orderlens.workspace import new_directory
+from orderlens.workspace import application_directory, clear_work, new_directory, stored
 
 DATA = "/root/testdata/sf0.001"
 
@@ -135,3 +136,11 @@ def test_work_directories_follow_the_session():
     one, two = new_directory(shared, "x"), new_directory(shared, "x")
     assert one != two and one.startswith("hdfs://shared/work/orderlens/")
     assert new_directory(session(spark__sql__warehouse__dir="hdfs://house"), "x").startswith("hdfs://house/orderlens/")
+
+
+def test_what_was_stored_on_the_way_can_be_cleared(spark):
+    folder = Path(application_directory(spark).removeprefix("file:"))
+    assert stored(spark.range(3), "numbers").count() == 3 and list(folder.glob("numbers-*"))
+    clear_work(spark)
+    assert not folder.exists()
+    clear_work(spark)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from orderlens.operators import numbered
 from orderlens.plans import reports
 
 
@@ -199,3 +201,12 @@ def test_a_malformed_date_stops_the_report(shop):
     for report in (reports.longest_order_gap, reports.monthly_revenue_by_industry):
         with pytest.raises(Exception, match="2020-13-45"):
             report(tables).collect()
+
+
+def test_rows_are_numbered_in_their_order_across_partitions(spark, settings, rows):
+    settings(spark__sql__shuffle__partitions="7", spark__sql__adaptive__enabled="false")
+    frame = spark.range(1000).selectExpr("(id * 37) % 1000 AS k", "id % 3 AS _part").orderBy(F.desc("k"))
+    got = numbered(frame)
+    assert got.columns == ["k", "_part", "position"] and got.count() == 1000
+    assert all(position == 1000 - k for k, _, position in rows(got))
+    assert numbered(frame.limit(0)).count() == 0
