@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ def utf8_sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def bounded_rows(frame: DataFrame, most: int) -> bool:
-    """Whether a stored frame has at most so many rows (counts no further than that)."""
-    return frame.limit(most + 1).count() <= most
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows, so that what is made of a part stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)

@@ -1,6 +1,7 @@
 """Exact similarity self-join of documents on the Jaccard index of their word shingles.
 
-1. Texts with equal sets are one set from here on, named by a hash.
+1. Texts with equal sets are one set from here on, with a name of 128 bits, and one row of it, by id
+   and text, lends its text.
 2. Shingles are counted over all sets into two bitmaps: found more than once, found often.
    Each set's prefix in the order (once, seldom, often; hash) must share a shingle with every
    set it links with, so that sets with a quarter of shingles of their own have no partner.
@@ -25,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.corpus import id_and_text
+from orderlens.llm.corpus import id_and_text, sliced
 from orderlens.llm.links import components
-from orderlens.llm.shingles import Shingler, set_key
+from orderlens.llm.word_sets import set_name, shingle_sets
 from orderlens.workspace import stored
 
 #: Jaccard threshold as a fraction.
@@ -44,25 +45,29 @@ def prefix_length(n: int) -> int:
     return n - -(-NUMERATOR * n // DENOMINATOR) + 1 if n else 0
 
 
+def _found(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The shingle set of every text of a batch."""
+    return shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingle = Shingler()
-    for batch in batches:
+    for batch in sliced(batches):
         n, keys = [], []
-        for text in batch.column("text").cast(pa.binary()):
-            hashes = shingle(text.as_py())
+        for hashes in _found(batch):
             n.append(len(hashes))
-            keys.append(set_key(hashes))
+            keys.append(set_name(hashes))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.int64())],
-            names=["doc_id", "n_shingles", "set_key"],
+            [batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(keys, pa.binary())],
+            names=["doc_id", "text_key", "n_shingles", "set_key"],
         )
 
 
 def sets(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and set_key of every row, stored."""
+    """doc_id, text_key, n_shingles and set_key of every row, stored."""
     kind = documents.schema["doc_id"].dataType.simpleString()
+    rows = documents.withColumn("text_key", F.xxhash64("text"))
     return stored(
-        id_and_text(documents).mapInArrow(_sets, f"doc_id {kind}, n_shingles long, set_key long"), "shingle-sets"
+        rows.mapInArrow(_sets, f"doc_id {kind}, text_key long, n_shingles long, set_key binary"), "shingle-sets"
     )
 
 
@@ -76,12 +81,6 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _shingle_arrays(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    shingle = Shingler()
-    for text in batch.column("text").cast(pa.binary()):
-        yield shingle(text.as_py())
-
-
 def _token_counts(bucket_bits: int, arrays: Callable[[pa.RecordBatch], Iterator[np.ndarray]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -101,7 +100,7 @@ def _token_counts(bucket_bits: int, arrays: Callable[[pa.RecordBatch], Iterator[
                 names=["bucket", "tokens", "counts"],
             )
 
-        for batch in batches:
+        for batch in sliced(batches):
             for hashes in arrays(batch):
                 if len(hashes):
                     held.append(hashes)
@@ -117,7 +116,7 @@ def _token_counts(bucket_bits: int, arrays: Callable[[pa.RecordBatch], Iterator[
 
 
 def common_hashes(
-    documents: DataFrame, expected: int, arrays: Callable[[pa.RecordBatch], Iterator[np.ndarray]] = _shingle_arrays
+    documents: DataFrame, expected: int, arrays: Callable[[pa.RecordBatch], Iterator[np.ndarray]] = _found
 ) -> tuple[int, np.ndarray]:
     """Bits per slot (2 ** power slots): found more than once (1), found often (2).
 
@@ -159,11 +158,10 @@ def prefix_entries(documents: DataFrame, power: int, bitmap: np.ndarray) -> Data
     shared = documents.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, bits = Shingler(), shared.value
-        for batch in batches:
+        bits = shared.value
+        for batch in sliced(batches):
             tokens, keys = [], []
-            for text in batch.column("text").cast(pa.binary()):
-                hashes = shingle(text.as_py())
+            for hashes in _found(batch):
                 slot = (hashes >> np.uint64(64 - power)).astype(np.int64)
                 at, bit = slot >> 3, (7 - (slot & 7)).astype(np.uint8)
                 rank = ((bits[0][at] >> bit) & 1) + ((bits[1][at] >> bit) & 1)
@@ -171,14 +169,14 @@ def prefix_entries(documents: DataFrame, power: int, bitmap: np.ndarray) -> Data
                 found = hashes[prefix[rank[prefix] > 0]]
                 if len(found):
                     tokens.append(found)
-                    keys.append(np.full(len(found), set_key(hashes), np.int64))
+                    keys += [set_name(hashes)] * len(found)
             if tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(keys))],
+                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(keys, pa.binary())],
                     names=["token", "set_key"],
                 )
 
-    return documents.select("text").mapInArrow(run, "token long, set_key long")
+    return documents.select("text").mapInArrow(run, "token long, set_key binary")
 
 
 def link_block(hashes: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -263,37 +261,32 @@ def link_block(hashes: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _join_block(group: pd.DataFrame) -> pd.DataFrame:
-    shingle = Shingler()
     keys = group["set_key"].tolist()
-    links = link_block([shingle(t.encode()) for t in group["text"]])
-    return pd.DataFrame({"a": [keys[i] for i, _ in links], "b": [keys[j] for _, j in links]}, dtype="int64")
-
+    links = link_block(list(shingle_sets([t.encode() for t in group["text"]])))
+    return pd.DataFrame({"a": [keys[i] for i, _ in links], "b": [keys[j] for _, j in links]})
 
-def join(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id connected by links) of every row.
 
-    Missing texts and texts without words have no shingles and link with nothing, not even each
-    other; a text of fewer than five words is one shingle. Rows of equal sets, as repeated rows,
-    are linked. A row without doc_id counts for its set's links but never names a component;
-    if none of a component has an id, its component_id is null.
-    """
-    documents = id_and_text(documents)
+def _components(documents: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_shingles and component_id of every row of (doc_id, text)."""
     all_sets = sets(documents)
     named = all_sets.where("n_shingles > 0").groupBy("set_key").agg(
-        F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n")
+        F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_key")).alias("row"), F.max("n_shingles").alias("n")
     )
     reps = stored(named, "shingle-reps")
     total = reps.agg(F.sum("n")).first()[0] or 0
     power, bitmap = common_hashes(documents, total)
-    entries = prefix_entries(documents, power, bitmap).distinct().repartition("token")
+    entries = stored(prefix_entries(documents, power, bitmap).distinct(), "shingle-prefixes")
     heads = entries.groupBy("token").agg(F.min("set_key").alias("head"), F.max("set_key").alias("last")).where("head < last")
     pairs = entries.join(heads, "token").where("set_key <> head").select(F.col("set_key").alias("a"), F.col("head").alias("b"))
     families = stored(components(pairs.distinct()).select(F.col("node").alias("set_key"), F.col("root").alias("family")), "families")
 
-    chosen = reps.join(families, "set_key").select("set_key", "family", F.col("first_id").alias("doc_id"))
+    chosen = reps.join(families, "set_key").select(
+        "set_key", "family", F.col("row.doc_id").alias("of_doc"), F.col("row.text_key").alias("of_text")
+    )
+    texts = documents.withColumn("text_key", F.xxhash64("text"))
     texts = stored(
-        documents.join(chosen, documents["doc_id"].eqNullSafe(chosen["doc_id"])).select("set_key", "family", "text")
-        .dropDuplicates(["set_key"]),
+        texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["of_doc"]) & (texts["text_key"] == chosen["of_text"]))
+        .select("set_key", "family", "text").dropDuplicates(["set_key"]),
         "family-texts",
     )
     extent = texts.groupBy("family").agg(
@@ -304,7 +297,7 @@ def join(documents: DataFrame) -> DataFrame:
     dealt = dealt.select(
         "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set_key", "text"
     )
-    links = dealt.groupBy("family", "i", "j").applyInPandas(_join_block, "a long, b long")
+    links = dealt.groupBy("family", "i", "j").applyInPandas(_join_block, "a binary, b binary")
     roots = components(links)
 
     grouped = reps.join(roots, reps["set_key"] == roots["node"], "left").select(
@@ -312,15 +305,35 @@ def join(documents: DataFrame) -> DataFrame:
     )
     least = grouped.groupBy("root").agg(F.min("first_id").alias("least_id"))
     membership = grouped.join(least, "root").select("set_key", "least_id")
+    component = F.when(F.col("n_shingles") > 0, F.col("least_id")).otherwise(F.col("doc_id"))
     return all_sets.join(membership, "set_key", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "text_key", "n_shingles", component.alias("component_id")
     )
 
 
+def join(documents: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id (smallest doc_id connected by links) of every row.
+
+    Missing texts and texts without words have no shingles and link with nothing, not even each
+    other; a text of fewer than five words is one shingle. Rows of equal sets, as repeated rows,
+    are linked; rows that share a doc_id but not the text are set apart by their texts. A row without
+    doc_id counts for its set's links but never names a component; if none of a component has an id,
+    its component_id is null. Long texts are shingled in pieces, cut between words. An empty table
+    gives an empty result; other columns are ignored.
+    """
+    return _components(id_and_text(documents)).drop("text_key")
+
+
 def keep_first(documents: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest doc_id.
+    """The rows of documents without those that a near duplicate with a smaller doc_id stands for.
 
-    Of repeated rows with that doc_id all stay; so do rows without doc_id.
+    Of repeated rows with that doc_id all stay; so do rows without doc_id. Rows are told apart by id
+    and text, so that of two texts under one id each stays or goes by its own likeness.
     """
-    found = join(documents).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__later__")).distinct()
-    return documents.join(found, documents["doc_id"] == F.col("__later__"), "left_anti")
+    later = _components(id_and_text(documents)).where(F.col("doc_id") > F.col("component_id"))
+    later = later.select(F.col("doc_id").alias("later_id"), F.col("text_key").alias("later_text")).distinct()
+    rows = documents.select(
+        F.struct("*").alias("whole"), F.col("doc_id").alias("own_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_text")
+    )
+    same = (F.col("own_id") == F.col("later_id")) & (F.col("own_text") == F.col("later_text"))
+    return rows.join(later, same, "left_anti").select("whole.*")

@@ -17,6 +17,7 @@ from orderlens.llm import (
     line_dedup,
     minhash,
     mixing,
+    oracle,
     quality,
     sharding,
     suffix_dedup,
@@ -123,4 +124,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_jaccard_components": oracle.jaccard_components(75, kept=False),
+        "op5_warc_revisits": oracle.WARC_REVISITS.format(more=", TRUE AS intact"),
+        "op11_minhash_components": oracle.jaccard_components(85, kept=True),
+        "op12_dictionary_codes": oracle.dictionary_codes(),
+        "op13_vantage_clusters": oracle.centroid_clusters(),
+    }

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import random
-import re
 
 import numpy as np
 import pytest
+from pairs import edited, expected, odd_rows, shingles, words
 
 from orderlens.llm import minhash
 from orderlens.llm.word_sets import PIECE, shingle_sets
@@ -19,66 +19,23 @@ def frame(spark, rows):
     return spark.createDataFrame([(i, t, "x", 1, 2, 3, 4) for i, t in rows], SCHEMA)
 
 
-def words(seed, count, letters="abcdefgh"):
-    rng = random.Random(seed)
-    return ["".join(rng.choice(letters) for _ in range(rng.randint(2, 6))) for _ in range(count)]
-
-
-def shingles(text):
-    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
-
-
-def expected(rows):
-    """What every row must get, from all pairs of rows."""
-    sets = [shingles(t) for _, t in rows]
-    label = list(range(len(rows)))
-    for a in range(len(rows)):
-        for b in range(a):
-            if label[a] != label[b] and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
-                old, new = label[a], label[b]
-                label = [new if x == old else x for x in label]
-    out = []
-    for k, (i, _) in enumerate(rows):
-        ids = [j for m, (j, _) in enumerate(rows) if label[m] == label[k] and j is not None]
-        component = (min(ids) if ids else None) if sets[k] else i
-        out.append((i, len(sets[k]), component, i == component))
-    return out
-
-
 def same(got, want):
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
-def edited(base, rng, count):
-    out = list(base)
-    for _ in range(count):
-        out[rng.randrange(len(out))] = f"w{rng.randrange(40)}"
-    return " ".join(out)
-
-
-@pytest.fixture
+@pytest.fixture(scope="module")
 def texts():
-    rng = random.Random(4)
-    rows = [(k, edited(words(k % 6, 220), rng, rng.randint(0, 12))) for k in range(150)]
-    rows += [(200 + k, edited(words(77, 60 + k % 9), rng, rng.randint(0, 2))) for k in range(40)]
-    base = words(5, 90)
-    rows += [(300, None), (301, ""), (302, " \t\n"), (303, "One two"), (304, "one  TWO"), (305, "two one"), (306, "É é"), (307, "é é")]
-    rows += [(None, " ".join(words(50, 80))), (None, " ".join(words(51, 80))), (None, None), (400, " ".join(words(51, 80)))]
-    rows += [(None, edited(words(50, 80), rng, 1)), (None, " ".join(base)), (500, " ".join(base)), (7, " ".join(words(60, 70)))]
-    rows += [(7, edited(words(61, 70), rng, 1)), (410, " ".join(words(60, 70))), (411, " ".join(words(61, 70)))]
-    rows += [rows[3], rows[3]] + [(600 + k, rows[9][1]) for k in range(90)]
-    return rows
+    return odd_rows()
 
 
 def test_components_match_all_pairs(spark, rows, texts):
-    same(rows(minhash.near_duplicates(frame(spark, texts).repartition(5))), expected(texts))
+    same(rows(minhash.near_duplicates(frame(spark, texts).repartition(5))), expected(texts, 85))
 
 
 def test_small_blocks_give_the_same_components(spark, rows, texts, monkeypatch):
     monkeypatch.setattr(minhash, "MOST_SIGNATURES", 3)
     monkeypatch.setattr(minhash, "MOST_SETS", 4)
-    same(rows(minhash.near_duplicates(frame(spark, texts))), expected(texts))
+    same(rows(minhash.near_duplicates(frame(spark, texts))), expected(texts, 85))
 
 
 def test_a_chain_of_partly_similar_copies_is_followed(spark, rows):
@@ -89,14 +46,14 @@ def test_a_chain_of_partly_similar_copies_is_followed(spark, rows):
         base[3 * k % 200] = f"step{k}"
         rows_in.append((1000 - k, " ".join(base)))
     got = rows(minhash.near_duplicates(frame(spark, rows_in)))
-    same(got, expected(rows_in))
+    same(got, expected(rows_in, 85))
     assert {r[2] for r in got} == {941}
 
 
 def test_similar_texts_below_the_threshold_stay_apart(spark, rows):
     rng = random.Random(8)
     rows_in = [(k, edited(words(3, 150), rng, 6)) for k in range(120)]
-    same(rows(minhash.near_duplicates(frame(spark, rows_in))), expected(rows_in))
+    same(rows(minhash.near_duplicates(frame(spark, rows_in))), expected(rows_in, 85))
 
 
 def test_long_texts_and_an_empty_table(spark, rows):
@@ -104,7 +61,7 @@ def test_long_texts_and_an_empty_table(spark, rows):
     assert len(" ".join(long)) > PIECE
     changed = long[:100] + ["other"] + long[101:]
     rows_in = [(1, " ".join(long)), (2, " ".join(changed)), (3, "x" * (PIECE + 5000) + " end"), (4, "y" * (PIECE + 5000) + " end")]
-    same(rows(minhash.near_duplicates(frame(spark, rows_in))), expected(rows_in))
+    same(rows(minhash.near_duplicates(frame(spark, rows_in))), expected(rows_in, 85))
     assert minhash.near_duplicates(frame(spark, [])).collect() == []
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import random
-import re
 
 import pytest
+from pairs import expected, odd_rows
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
@@ -60,33 +60,13 @@ def by_id(frame):
     return {r["doc_id"]: r for r in frame.collect()}
 
 
-def test_jaccard_components_match_all_pairs(spark, odd):
-    def shingles(text):
-        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
-        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-    rng = random.Random(5)
-    rows = [(r["doc_id"], r["text"]) for r in odd.collect() if r["doc_id"] is not None]
-    for i in range(40):
-        words = prose(i % 4 + 20, 45).split()
-        for _ in range(rng.randint(0, 4)):
-            words[rng.randrange(45)] = "w%d" % rng.randrange(3)
-        rows.append((100 + i, " ".join(words)))
-    sets = {i: shingles(t) for i, t in rows}
-    label = {i: i for i in sets}
-    for a in sets:
-        for b in sets:
-            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
-                old, new = max(label[a], label[b]), min(label[a], label[b])
-                label = {k: new if v == old else v for k, v in label.items()}
-    got = by_id(jaccard_join.join(documents(spark, rows)))
-    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == {i: (len(s), label[i]) for i, s in sets.items()}
-
-
-def test_blocks_give_the_same_links(monkeypatch, odd):
-    whole = sorted(map(str, jaccard_join.join(odd).collect()))
-    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", 300)
-    assert sorted(map(str, jaccard_join.join(odd).collect())) == whole
+@pytest.mark.parametrize("block", [None, 300])
+def test_jaccard_components_match_all_pairs(spark, monkeypatch, block):
+    if block:
+        monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", block)
+    rows = odd_rows()
+    got = [tuple(r) for r in jaccard_join.join(documents(spark, rows)).collect()]
+    assert sorted(map(str, got)) == sorted(str(r[:3]) for r in expected(rows, 75))
 
 
 def test_near_duplicates_keep_the_first(odd, none):
@@ -94,6 +74,9 @@ def test_near_duplicates_keep_the_first(odd, none):
     assert kept.columns == odd.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted("1 4 5 6 7 8 8 9 10 11 None".split())
     assert jaccard_join.keep_first(none).collect() == []
+    two = documents(odd.sparkSession, [(1, prose(1, 60)), (5, prose(1, 60)), (5, prose(2, 60)), (6, prose(2, 60))])
+    two = two.withColumnsRenamed({"bucket": "later_id", "name": "own_text", "root": "whole"})
+    assert sorted((r["doc_id"], r["text"]) for r in jaccard_join.keep_first(two).collect()) == [(1, prose(1, 60)), (5, prose(2, 60))]
 
 
 @pytest.mark.parametrize("most", [40_000, 0])
