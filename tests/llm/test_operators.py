@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import pytest
 from pairs import expected, odd_rows
@@ -205,14 +206,80 @@ def test_decontamination(spark, odd, none):
     item = "A train leaves Rome at 9 and covers 120 km in 3 hours . How fast does the train go on its way from Rome ?"
     other = item.replace("Rome", "Milan").replace("120", "240").replace(" 9 ", " 7 ")
     mixed = item.replace("from Rome", "from Oslo")
-    bench = spark.createDataFrame([(1, item), (2, None), (None, item), (3, "two words")], "item_id long, text string")
-    frame = documents(spark, [(1, prose(1, 20) + ". " + item), (2, other), (3, prose(4, 50)), (4, mixed), (5, None), (6, "Two words"), (6, "Two words"), (None, item)])
+    merged = item.replace(" 9 ", " 6 ").replace("120", "6").replace(" 3 ", " 6 ")
+    short = "What is the capital of France?"
+    bench = spark.createDataFrame([(1, item), (2, None), (None, item), (3, "two words"), (4, short), (5, "")], "item_id long, text string")
+    rows = [
+        (1, prose(1, 20) + ". " + item), (2, other), (3, prose(4, 50)), (4, mixed), (5, None), (6, "Two words"), (6, "Two words"),
+        (None, item), (7, merged), (8, prose(5, 9) + " what is the capital of France " + prose(6, 9)), (9, "these are two words"),
+        (10, prose(7, 30_000) + ". " + item), (11, "the capital of France"),
+    ]
+    frame = documents(spark, rows)
     got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(frame, bench).collect()}
-    assert got == {(1, 1), (2, 1), (6, 3)}
-    assert [r["doc_id"] for r in decontamination.keep_clean(frame, bench).orderBy("doc_id").collect()] == [None, 3, 4, 5]
+    # neither two towns for one, nor one number for three
+    assert got == {(1, 1), (2, 1), (6, 3), (8, 4), (10, 1)}
+    kept = decontamination.keep_clean(frame.withColumnsRenamed({"name": "leaking_id", "root": "whole"}), bench)
+    assert [r["doc_id"] for r in kept.orderBy("doc_id").collect()] == [None, 3, 4, 5, 7, 9, 11]
     assert decontamination.leaks(none, bench).count() == 0 and decontamination.leaks(frame, bench.limit(0)).count() == 0
 
 
+def _template(words):
+    """The placeholders by the rules as the README states them."""
+    number = re.compile(r"[+-]?[0-9][0-9.,:/]*%?")
+    out = []
+    for i, (raw, o) in enumerate(words):
+        before = words[i - 1] if i else ("", "")
+        if number.fullmatch(o):
+            t = "#number"
+        elif i and o.lower() in decontamination.UNITS and number.fullmatch(before[1]):
+            t = "#unit"
+        elif i and o[0].isupper() and len(o) > 1 and o[1:].isalpha() and o[1:].islower() and before[0][-1] not in ".!?:|":
+            t = "#name"
+        else:
+            t = o.lower()
+        out.append((t, o.lower()))
+    return out
+
+
+def _words(text):
+    found = [(w, re.sub(r"^[\W_]+|[^\w%]+$|_+$", "", w)) for w in text.split()]
+    return _template([(w, o) for w, o in found if o])
+
+
+def test_templates_match_a_plain_search(spark):
+    rng = random.Random(9)
+    vocabulary = ["Anna", "Rome", "buys", "7", "12", "3.5", "km", "apples", "in", "the", "town", "(of)", "it's", "end.", "Zoë", "5%", "-4", "a1", "Über"]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 40))) for _ in range(120)]
+    items = [" ".join(rng.choices(vocabulary, k=rng.randint(6, 14))) for _ in range(25)]
+    for k in range(60):
+        words = items[k % 25].split()
+        if k % 3 == 0:
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        texts[k] += " " + " ".join(words) + " the end"
+    want = set()
+    for i, text in enumerate(texts):
+        doc = _words(text)
+        for j, item in enumerate(items):
+            own = _words(item)
+            width = min(len(own), decontamination.WINDOW)
+            windows = {tuple(own[a : a + width]) for a in range(len(own) - width + 1)}
+            names = {tuple(t for t, _ in w) for w in windows}
+            held = set()
+            for shift in range(-len(own), len(doc)):
+                found = [
+                    a for a in range(len(own) - width + 1)
+                    if 0 <= a + shift <= len(doc) - width and [t for t, _ in doc[a + shift : a + shift + width]] == [t for t, _ in own[a : a + width]]
+                ]
+                slots = {(own[a + d][1], doc[a + shift + d][1]) for a in found for d in range(width) if own[a + d][0][0] == "#"}
+                if len(slots) == len({x for x, _ in slots}) == len({y for _, y in slots}):
+                    held |= {tuple(t for t, _ in own[a : a + width]) for a in found}
+            if len(held) / len(names) >= decontamination.LEAST_SHARE:
+                want.add((i, j, len(held), len(names)))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontamination.leaks(documents(spark, list(enumerate(texts))), bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["n_windows"], r["item_windows"]) for r in got} == want and len(want) > 20
+
+
 def test_raking_meets_the_marginals(spark, odd, none):
     rows = [(i, prose(i, 10 + i % 7 * 30), ("en", "de")[i % 3 == 0], ("a", "b", "c")[i % 5 % 3]) for i in range(400)]
     table = mixing.cells(documents(spark, rows))
