@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.workspace import stored
+
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}{CRLF}"
-#: Payload bytes meant for one archive file.
-ARCHIVE_BYTES = 16 << 20
 _READ = 1 << 16
 
 
@@ -71,7 +71,7 @@ def records(pages: DataFrame, least_bytes: int = 0, date: str = "2000-01-01T00:0
     html = F.coalesce("html", F.lit("")).alias("html")
     payload = F.col("html").cast("binary")
     rows = pages.select("page_id", "url", html).withColumn("payload_digest", base32_of_hex(F.sha1(payload)))
-    repeated = revisits(headers(pages), least_bytes).distinct()
+    repeated = revisits(stored(headers(pages), "warc-headers"), least_bytes).distinct()
     decided = rows.join(repeated, ["page_id", "payload_digest"], "left")
     again = F.col("refers_to").isNotNull()
     block = F.when(again, F.lit(HTTP_HEAD)).otherwise(F.concat(F.lit(HTTP_HEAD), "html"))
@@ -98,12 +98,12 @@ def records(pages: DataFrame, least_bytes: int = 0, date: str = "2000-01-01T00:0
 
 
 def write(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """Write the archives. Each record ends in two line ends, which is the output's separator."""
-    total = pages.agg(F.sum(F.octet_length(F.coalesce("html", F.lit(""))))).first()[0] or 0
-    (
-        records(pages, least_bytes).repartition(max(1, -(-total // ARCHIVE_BYTES)))
-        .write.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path)
-    )
+    """Write the archives, one for each partition that the records come in.
+
+    Each record ends in two line ends, which is the output's separator.
+    """
+    archives = records(pages, least_bytes).write
+    archives.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path)
 
 
 def _inflated(content: bytes) -> Iterator[bytes]:
