@@ -3,8 +3,9 @@
 Rows are ordered by two 63-bit keys, the hash of their group and the hash of their id. Each
 round counts, over all partitions, the exact bytes in bins of the key range that still holds
 a splitter, and narrows the range twelve bits further, until every splitter's byte count is
-within the tolerance of its target. A group is cut only where its own bytes would miss the
-tolerance; a hot group is then split by the second key in the same way.
+within the tolerance of its target. Where a group lies across a target, the splitter goes to the
+nearer end of it, so that its rows stay together; only a group above WHOLE of a shard's share is cut,
+by the second key in the same way.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from orderlens.workspace import stored
 KEY_BITS, STEP_BITS = 63, 12
 #: How far a splitter's bytes may be from its target, as a part of a shard's share.
 TOLERANCE = 0.002
+#: Groups up to this part of a shard's share stay whole, and move a splitter by half as much at most.
+WHOLE = 0.03
 
 GROUP, TIE, SIZE, SHARD, AT = "__group__", "__tie__", "__size__", "__shard__", "__at__"
 
@@ -54,7 +57,7 @@ def _key(value: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(value), 1)
 
 
-def _narrow(searches: list[_Search], bins: dict, shift: int, tolerance: float) -> list[_Search]:
+def _narrow(searches: list[_Search], bins: dict, shift: int, tolerance: float, whole: float) -> list[_Search]:
     """Place the splitters that this round's bins decide; returns those whose group is hot."""
     hot = []
     for s in searches:
@@ -73,7 +76,8 @@ def _narrow(searches: list[_Search], bins: dict, shift: int, tolerance: float) -
             return Splitter(value, 0) if s.group is None else Splitter(s.group, value)
 
         lower, upper = s.target - at, at + size - s.target
-        if min(lower, upper) <= tolerance or rows <= 1 or shift == 0 and (s.group is not None or low != high):
+        one = low == high and s.group is None and size <= whole
+        if min(lower, upper) <= tolerance or one or rows <= 1 or shift == 0 and (s.group is not None or low != high):
             s.found = edge(prefix) if lower <= upper else edge(prefix + 1)
         elif low == high and s.group is None:
             s.group, s.prefix, s.below = low, 0, at
@@ -104,17 +108,17 @@ def _count(rows: DataFrame, searches: list[_Search], key: str, shift: int, befor
     return bins
 
 
-def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> list[Splitter]:
+def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE, whole: float = WHOLE) -> list[Splitter]:
     """The ``shards - 1`` splitters of stored rows (GROUP, TIE, SIZE)."""
     total = rows.agg(F.sum(SIZE)).first()[0] or 0
     searches = [_Search(total * i // shards) for i in range(1, shards)]
-    slack = tolerance * total / shards
+    slack, whole = tolerance * total / shards, whole * total / shards
     hot: list[_Search] = []
     for key, level in ((GROUP, searches), (TIE, hot)):
         before = KEY_BITS
         while (going := [s for s in level if s.found is None and (s.group is None or key == TIE)]) and before:
             shift = max(0, before - STEP_BITS)
-            hot += _narrow(going, _count(rows, going, key, shift, before), shift, slack)
+            hot += _narrow(going, _count(rows, going, key, shift, before), shift, slack, whole)
             before = shift
     return [s.found for s in searches]
 
@@ -123,11 +127,13 @@ def shard(rows: DataFrame, size: Column, group: Column, tie: Column, shards: int
     """The rows, all columns kept, with ``shard`` and ``slot`` (replaced if already there).
 
     ``size`` are whole bytes, at least 1. Shards hold near equal bytes; slots count up from 0
-    within each. Rows with equal group and tie, as repeated rows have, stay next to each other
-    and are never parted, nulls are keys like others, and an empty frame stays empty.
+    within each. Rows of a group share a shard unless the group exceeds WHOLE of a shard's bytes.
+    Rows with equal group and tie, as repeated rows have, stay next to each other
+    and are never parted, nulls are keys like others, and an empty frame stays empty. Columns may
+    have any names.
     """
     spark = rows.sparkSession
-    keyed = rows.select("*", _key(group).alias(GROUP), _key(tie).alias(TIE), size.cast("long").alias(SIZE))
+    keyed = rows.select(F.struct("*").alias("whole"), _key(group).alias(GROUP), _key(tie).alias(TIE), size.cast("long").alias(SIZE))
     bounds = splitters(stored(keyed.select(GROUP, TIE, SIZE), "shard-keys"), shards)
     number = reduce(lambda a, b: a + b, (s.reached().cast("int") for s in bounds), F.lit(0))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -145,7 +151,7 @@ def shard(rows: DataFrame, size: Column, group: Column, tie: Column, shards: int
         F.col(SHARD).alias("__of__"), F.col("part").alias("__part__"),
         (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("start")).alias("__shift__"),
     )  # at most a row per partition and one more per shard
-    kept = [c for c in rows.columns if c not in ("shard", "slot")]
+    kept = [F.col(f"whole.`{c}`").alias(c) for c in rows.columns if c not in ("shard", "slot")]
     return placed.join(
         F.broadcast(offsets), (F.col(SHARD) == F.col("__of__")) & (F.shiftrightunsigned(AT, 33) == F.col("__part__"))
     ).select(*kept, F.col(SHARD).alias("shard"), (F.col(AT) + F.col("__shift__")).alias("slot"))
