@@ -15,20 +15,23 @@ def components(edges: DataFrame) -> DataFrame:
     a node, which is combined before the shuffle, so that a node with very many edges is as good
     as any; the number of rounds grows with the logarithm of the longest path.
     """
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    state = None
-    while True:
+    ordered = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = stored(ordered.distinct(), "links")
+    while not _stars(now):
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         star = large.join(small, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         now = stored(star.where("a <> b").distinct(), "links")
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == state:
-            break
-        state = seen
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select("b", "b").distinct()
     )
+
+
+def _stars(links: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour that has none itself, or no smaller neighbour."""
+    ends = links.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(links.select("b", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.agg(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0] is not True

@@ -84,3 +84,19 @@ def test_equal_minima_estimate_the_similarity():
     assert abs((least[0] == least[1]).mean() - 2400 / 3600) < 0.15
     plain = min((int(x) >> 32) * int(minhash._A[5]) + int(minhash._B[5]) & (1 << 64) - 1 for x in a)
     assert plain >> 32 == least[0][5]
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    from orderlens.llm.links import components
+
+    rng, edges = random.Random(3), []
+    edges += [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(200 + k, 200 + (k + 1) % 25) for k in range(25)]
+    edges += [(300 + rng.randrange(60), 300 + rng.randrange(60)) for _ in range(50)] + [(7, 7), (5, 6), (6, 5)]
+    label = {n: n for e in edges for n in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    linked = {n for a, b in edges if a != b for n in (a, b)}
+    assert got == {n: label[n] for n in linked}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
