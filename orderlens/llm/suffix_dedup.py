@@ -110,7 +110,7 @@ def _anchor_arrays(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 def repeated_bodies(documents: DataFrame) -> DataFrame:
-    """(bucket, doc_id, at, body) of every body whose anchor is found more than once."""
+    """(bucket, doc_id, text_key, at, body) of every body whose anchor is found more than once."""
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = 2 * size // SPREAD
     power, bitmap = common_hashes(documents, expected, _anchor_arrays)
@@ -120,7 +120,7 @@ def repeated_bodies(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, keys = batch.column("doc_id"), batch.column("text_key")
             for data, ends, where in _pieces(_texts(batch)):
                 first, last, anchor = bodies(data, ends)
                 slot = (anchor >> np.uint64(64 - power)).astype(np.int64)
@@ -135,13 +135,14 @@ def repeated_bodies(documents: DataFrame) -> DataFrame:
                     [
                         pa.array((anchor % np.uint64(buckets)).astype(np.int64)),
                         ids.take(pa.array(rows)),
+                        keys.take(pa.array(rows)),
                         pa.array(first - begin + offset),
                         pa.array([raw[a : b + LEAST] for a, b in zip(first, last)], pa.binary()),
                     ],
-                    names=["bucket", "doc_id", "at", "body"],
+                    names=["bucket", "doc_id", "text_key", "at", "body"],
                 )
 
-    return documents.mapInArrow(run, "bucket long, doc_id long, at long, body binary")
+    return documents.mapInArrow(run, "bucket long, doc_id long, text_key long, at long, body binary")
 
 
 def repeat_groups(contents: list[bytes], owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -195,28 +196,29 @@ def _spans(group: pa.Table) -> pa.Table:
     at = group.column("at").to_numpy()[body[first]]
     return pa.table({
         "doc_id": pa.array(owners[body[first]], pa.int64()),
+        "text_key": group.column("text_key").take(pa.array(body[first])),
         "start": pa.array(at + offset[first], pa.int64()),
         "stop": pa.array(at + offset[last] + LEAST, pa.int64()),
     })
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
-    """(doc_id, start, stop): byte ranges covered by strings that a smaller doc_id has as well."""
+    """(doc_id, text_key, start, stop): byte ranges covered by strings that a smaller doc_id has as well."""
     rows = repeated_bodies(documents).repartition("bucket")
     rows = rows.withColumn("first_id", F.min("doc_id").over(Window.partitionBy("bucket", "body")))
     rows = stored(rows, "repeated-bodies")
     whole = rows.where("doc_id > first_id").select(
-        "doc_id", F.col("at").alias("start"), (F.col("at") + F.octet_length("body")).alias("stop")
+        "doc_id", "text_key", F.col("at").alias("start"), (F.col("at") + F.octet_length("body")).alias("stop")
     )
     firsts = rows.where("doc_id = first_id")
     large = firsts.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > MOST_BODIES).select("bucket")
     within = firsts.join(large, "bucket", "left_anti").groupBy("bucket").applyInArrow(
-        _spans, "doc_id long, start long, stop long"
+        _spans, "doc_id long, text_key long, start long, stop long"
     )
     window = F.explode(F.expr(f"transform(sequence(0, octet_length(body) - {LEAST}), o -> struct(o, substring(body, o + 1, {LEAST}) as w))"))
-    spread = firsts.join(large, "bucket").select("doc_id", "at", window.alias("x")).select("doc_id", (F.col("at") + F.col("x.o")).alias("start"), "x.w")
+    spread = firsts.join(large, "bucket").select("doc_id", "text_key", "at", window.alias("x")).select("doc_id", "text_key", (F.col("at") + F.col("x.o")).alias("start"), "x.w")
     spread = spread.withColumn("first_id", F.min("doc_id").over(Window.partitionBy("w"))).where("doc_id > first_id")
-    return whole.unionByName(within).unionByName(spread.select("doc_id", "start", (F.col("start") + LEAST).alias("stop")))
+    return whole.unionByName(within).unionByName(spread.select("doc_id", "text_key", "start", (F.col("start") + LEAST).alias("stop")))
 
 
 def cut_out(text: str, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -238,12 +240,14 @@ def drop_repeats(documents: DataFrame) -> DataFrame:
 
     A byte goes if a string of LEAST bytes over it also starts in a document with a smaller
     doc_id, judged on the input. A missing text counts as empty; texts under LEAST bytes stay.
-    Rows with equal doc_id remove nothing from each other, and rows without doc_id neither lose
-    bytes nor make others lose any. Cuts may fall within a character, so that kept_text is binary.
+    Rows with equal doc_id remove nothing from each other, also when their texts differ, and each
+    loses what is found in smaller ids; rows without doc_id neither lose bytes nor make others lose
+    any. Cuts may fall within a character, so that kept_text is binary. An empty table gives an empty
+    result; other columns are ignored.
     """
-    rows = id_and_text(documents)
+    rows = id_and_text(documents).withColumn("text_key", F.xxhash64("text"))
     spans = repeated_spans(rows.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")))
-    by_document = spans.groupBy(F.col("doc_id").alias("of")).agg(
+    by_document = spans.groupBy(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text")).agg(
         F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans")
     )
 
@@ -256,6 +260,7 @@ def drop_repeats(documents: DataFrame) -> DataFrame:
             out.append((len(kept) + removed, removed, runs, kept, hashlib.sha256(kept).hexdigest()))
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_text", "kept_sha256"])
 
-    return rows.join(by_document, rows["doc_id"] == F.col("of"), "left").select(
+    own = (F.col("doc_id") == F.col("of_doc")) & (F.col("text_key") == F.col("of_text"))
+    return rows.join(by_document, own, "left").select(
         "doc_id", left("text", "spans").alias("x")
     ).select("doc_id", "x.*")

@@ -100,6 +100,15 @@ def test_repeated_strings_match_brute_force(spark, monkeypatch, odd, most):
     assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == want
 
 
+def test_texts_under_one_id_lose_only_their_own_bytes(spark, none):
+    base, other = prose(70, 40), "nothing of this occurs anywhere else " * 1 + prose(71, 30)
+    rows = [(1, base), (5, base), (5, other), (6, other[:80] + prose(72, 20)), (None, base), (5, base)]
+    got = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"]) for r in suffix_dedup.drop_repeats(documents(spark, rows)).collect())
+    n, m = len(base), len(other)
+    assert got == sorted([("1", n, 0), ("5", n, n), ("5", m, 0), ("6", 80 + len(prose(72, 20)), 80), ("None", n, 0), ("5", n, n)])
+    assert suffix_dedup.drop_repeats(none).count() == 0
+
+
 def test_repeat_groups_are_all_equal_windows():
     import numpy as np
 
