@@ -196,6 +196,13 @@ def test_fingerprints(odd, none):
     assert fingerprints.with_next(none).count() == 0
 
 
+def test_half_edited_texts_are_nearer_than_others(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = fingerprints.with_next(table).where("n_chars >= 200").collect()
+    assert sum(r["near_edited"] > r["near_next"] for r in got) >= 0.9 * len(got) and len(got) > 100
+    assert sum(r["near_edited"] > 0 for r in got) >= 0.95 * len(got)
+
+
 def test_warc_round_trip(spark, tmp_path):
     tricky = "a\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n"
     rows = [(1, "http://a b", "x" * 200_000), (2, None, "é"), (3, "u", "é"), (4, "u", None), (5, "u", ""), (6, "u\r\nX: y", tricky), (None, "u", "é")]
