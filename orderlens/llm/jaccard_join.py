@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.corpus import id_and_text, sliced
+from orderlens.llm.corpus import id_and_text, sliced, small_batches
 from orderlens.llm.links import components
 from orderlens.llm.word_sets import set_name, shingle_sets
 from orderlens.workspace import stored
@@ -36,7 +36,7 @@ NUMERATOR, DENOMINATOR = 3, 4
 OFTEN = 16
 LEAST_POWER, MOST_POWER = 20, 27
 TOKEN_BITS = 44
-FLUSH = 1_000_000
+FLUSH = 1 << 19
 #: What one task joins: so many sets and bytes of text at most (a single set may be larger).
 BLOCK_SETS, BLOCK_BYTES = 4096, 12 << 20
 
@@ -268,7 +268,11 @@ def _join_block(group: pd.DataFrame) -> pd.DataFrame:
 
 def _components(documents: DataFrame) -> DataFrame:
     """doc_id, text_key, n_shingles and component_id of every row of (doc_id, text)."""
-    all_sets = sets(documents)
+    with small_batches(documents.sparkSession):
+        return _linked(documents, sets(documents))
+
+
+def _linked(documents: DataFrame, all_sets: DataFrame) -> DataFrame:
     named = all_sets.where("n_shingles > 0").groupBy("set_key").agg(
         F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_key")).alias("row"), F.max("n_shingles").alias("n")
     )

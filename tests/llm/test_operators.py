@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pairs import expected, odd_rows
 from pyspark.sql import functions as F
@@ -110,8 +111,6 @@ def test_texts_under_one_id_lose_only_their_own_bytes(spark, none):
 
 
 def test_repeat_groups_are_all_equal_windows():
-    import numpy as np
-
     text = bytes(random.Random(1).choices(range(97, 100), k=200)) * 2
     contents = [text[:90], text[20:140], text[200:300]]
     body, offset, number, least, diverse = suffix_dedup.repeat_groups(contents, np.array([5, 3, 9]))
@@ -246,6 +245,43 @@ def test_quality(spark, odd, none):
     assert quality.classify(none, labels).count() == 0
 
 
+def test_scores_match_plain_gaussians(spark):
+    """Densities by inverse and determinant instead of cached factors."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(60, 3)), rng.normal(size=(25, 3)) @ np.array([[2, 0.5, 0], [0, 1, 0.3], [0, 0, 0.2]]) + [1, -1, 0.5]])
+    label = [0] * 60 + [1] * 25
+    features = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(x)] + [(900, [0.0, 1.0, 2.0])], "doc_id long, features array<double>")
+    labels = spark.createDataFrame([(i, y) for i, y in enumerate(label)] + [(None, 1), (900, None), (900, 7), (901, 1)], "doc_id long, label int")
+    got = by_id(quality.score(features, quality.learn(features, labels, 3)))
+    parts = [x[:60], x[60:]]
+    pooled = sum(np.cov(p.T, ddof=0) * len(p) for p in parts) / 85
+    for i, row in [*enumerate(x), (900, np.array([0.0, 1.0, 2.0]))]:
+        logs = []
+        for p in parts:
+            lean = max(quality.POOLED, 3 / len(p))
+            cov = (1 - lean) * np.cov(p.T, ddof=0) + lean * pooled
+            cov = (1 - quality.DIAGONAL) * cov + quality.DIAGONAL * np.diag(np.diag(cov)) + quality.LEAST_VARIANCE * np.eye(3)
+            away = row - p.mean(axis=0)
+            logs.append(np.log((len(p) + 1) / 87) - 0.5 * (np.linalg.slogdet(cov)[1] + away @ np.linalg.inv(cov) @ away))
+        assert got[i]["score"] == pytest.approx(1 / (1 + np.exp(logs[0] - logs[1])), abs=1e-9)
+        assert got[i]["predicted"] == int(got[i]["score"] >= 0.5)
+
+
+def test_quality_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    told = quality.classify(docs, labels).join(labels.select("doc_id", "quality"), "doc_id").where("held_out").collect()
+    good, bad = ([r["score"] for r in told if r["quality"] == k] for k in (1, 0))
+    assert good and bad and np.mean([g > b for g in good for b in bad]) > 0.95
+
+
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    told = language_id.predict(docs, language_id.learn_from_folds(docs)).join(docs.select("doc_id", F.col("lang").alias("own")), "doc_id")
+    told = told.where(language_id.held_out(F.col("doc_id")) & (F.col("lang_pred") != "und") & F.col("own").isNotNull()).collect()
+    assert len(told) > 100 and sum(r["lang_pred"] == r["own"] for r in told) >= 0.95 * len(told)
+
+
 def test_decontamination(spark, odd, none):
     item = "A train leaves Rome at 9 and covers 120 km in 3 hours . How fast does the train go on its way from Rome ?"
     other = item.replace("Rome", "Milan").replace("120", "240").replace(" 9 ", " 7 ")
