@@ -30,7 +30,7 @@ def test_flagship_runs(spark):
 # Rankings learned from data, randomised lexicons and iterative layouts are beyond SQL; their tests use
 # brute force, exact properties or held-out rows instead.
 WITHOUT_SQL = {
-    "op1_imatch_fingerprints", "op2_histogram_shards", "op3_line_runs", "op6_raked_mixture",
+    "op1_imatch_fingerprints", "op2_histogram_shards", "op3_line_runs", "op6_raked_mixture", "op7_suffix_repeats",
     "op8_language_bitmask", "op9_template_leaks", "op10_quality_discriminant", "pipeline",
 }
 
