@@ -1,24 +1,26 @@
 """Repeated runs of lines, found by prefix doubling over line names.
 
-Every line gets a name (a hash of its text), and doubling names runs of 2, 4, ... lines by the names
-of their halves, up to the least length of a run that counts. Positions that share a name are the
-interval of the suffix array of all line sequences with that common prefix; its first position, by
-doc_id and place, is the copy that stays. Intervals of neighbouring positions overlap, and together
-cover every longer run, so that more rounds of doubling would delete the same lines.
-
-Halves lie in one text, so that doubling is arithmetic on a row's own lines; only names and positions
-are shuffled, and the text once, to meet its cuts.
+Every line gets a name (a hash of its text), and doubling names runs of 2, 4, 8, ... lines by the names
+of their halves, until no name is found twice. Only positions whose name is found twice go into the
+next round: a run can only repeat if both its halves do. Positions that share a name are the interval
+of the suffix array of all line sequences with that common prefix; its first position, by doc_id and
+place, is the copy that stays. Each position's widest interval is kept, and the runs of a text that
+touch are joined to the stretches that go.
+
+Halves lie in one text: up to the least length that counts, doubling is arithmetic on a row's own
+lines; from there on names meet by text, and only names and positions are shuffled, the text once, to
+meet its cuts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.corpus import id_and_text, utf8_sha256
 from orderlens.workspace import stored
 
-#: Doubling rounds: runs of 2 ** ROUNDS lines and longer count.
+#: Runs of 2 ** ROUNDS lines and longer count; doubling goes on from there until names are unique.
 ROUNDS = 1
 
 LINES = "split(text, '\\\\n', -1)"
@@ -42,6 +44,49 @@ def run_names(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return stored(runs.where(said).select("doc_id", "text_key", "at", "name").distinct(), "line-runs")
 
 
+def _repeated(names: DataFrame) -> DataFrame:
+    """The rows whose name is found more than once, with the first place that has it, stored."""
+    place = F.struct("doc_id", "text_key", "at")
+    first = names.groupBy("name").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    return stored(names.join(first.drop("n"), "name"), "repeated-lines")
+
+
+def _doubled(repeated: DataFrame, width: int) -> DataFrame:
+    """Names of runs of 2 * width lines whose halves are both found more than once, stored."""
+    ahead = Window.partitionBy("doc_id", "text_key").orderBy("at").rangeBetween(width, width)
+    pairs = repeated.withColumn("half", F.first("name").over(ahead)).where("half is not null")
+    return stored(pairs.select("doc_id", "text_key", "at", F.xxhash64("name", "half").alias("name")), "line-runs")
+
+
+def intervals(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """(doc_id, text_key, at, width, first) by doubled width, from 2 ** rounds until names are unique.
+
+    A row says that the ``width`` lines at a position are also found elsewhere, and where first. Wider
+    runs are doubled from halves that are not all blank.
+    """
+    names, width, found = run_names(documents, rounds), 1 << rounds, []
+    while not found or not names.isEmpty():
+        repeated = _repeated(names)
+        found.append(repeated.select("doc_id", "text_key", "at", F.lit(width).alias("width"), "first"))
+        names, width = _doubled(repeated, width), 2 * width
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return every
+
+
+def later_stretches(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """(doc_id, text_key, start, stop): lines in runs that begin earlier as well, touching runs joined."""
+    same = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    later = intervals(documents, rounds).where(~same | (F.col("at") - F.col("first.at") >= F.col("width")))
+    own = Window.partitionBy("doc_id", "text_key").orderBy("at")
+    runs = later.groupBy("doc_id", "text_key", "at").agg(F.max(F.col("at") + F.col("width")).alias("stop"))
+    reach = F.max("stop").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("new", F.coalesce((F.col("at") > reach).cast("int"), F.lit(1)))
+    runs = runs.withColumn("stretch", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("doc_id", "text_key", "stretch").agg(F.min("at").alias("start"), F.max("stop").alias("stop")).drop("stretch")
+
+
 def drop_repeated_runs(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_lines, n_removed and kept_text of every row.
 
@@ -53,14 +98,9 @@ def drop_repeated_runs(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     Long texts are taken whole, and an empty table gives an empty result; other columns are ignored.
     """
     rows = id_and_text(documents).withColumn("text_key", F.xxhash64("text"))
-    names, width = run_names(rows.where("doc_id is not null"), rounds), 1 << rounds
-    place = F.struct("doc_id", "text_key", "at")
-    first = names.groupBy("name").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    same = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
-    later = names.join(first, "name").where(~same | (F.col("at") - F.col("first.at") >= width))
-    dropped = later.groupBy(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text")).agg(
-        F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("at"), F.col("at") + F.lit(width - 1))))).alias("covered")
-    )
+    dropped = later_stretches(rows.where("doc_id is not null"), rounds).groupBy(
+        F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text")
+    ).agg(F.flatten(F.collect_list(F.sequence("start", F.col("stop") - 1))).alias("covered"))
     gone = rows.join(dropped, (F.col("doc_id") == F.col("of_doc")) & (F.col("text_key") == F.col("of_text")), "left")
     gone = gone.withColumns({"lines": F.expr(LINES), "covered": F.coalesce("covered", F.array().cast("array<int>"))})
     left = "array_except(sequence(0, size(lines) - 1), covered)"

@@ -162,6 +162,18 @@ def test_line_runs(spark, odd, none, rounds):
     assert line_dedup.drop_repeated_runs(none).count() == 0
 
 
+def test_doubling_of_lines_ends_when_names_are_unique(spark):
+    copied = [f"line {k}" for k in range(21)]
+    rows = documents(spark, [(1, "\n".join(copied)), (2, "\n".join(["own", *copied[3:20], "", "", "end"])), (3, "\n\nend")])
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    got = line_dedup.intervals(rows)
+    found = {(r["doc_id"], r["width"], r["at"], r["first"]["doc_id"], r["first"]["at"]) for r in got.collect()}
+    want = {(i, w, at + (i == 2) * -2, 1, at) for i in (1, 2) for w in (2, 4, 8, 16) for at in range(3, 21 - w)}
+    assert found == want | {(i, 2, at, 2, 19) for i, at in ((2, 19), (3, 1))}
+    stretches = {(r["doc_id"], r["start"], r["stop"]) for r in line_dedup.later_stretches(rows).collect()}
+    assert stretches == {(2, 1, 18), (3, 1, 3)}
+
+
 def test_shards_hold_equal_bytes(spark, odd, none):
     rows = [(i, prose(0 if i % 3 == 0 else i, 5 + i % 30)) for i in range(600)]
     frame = documents(spark, rows)
