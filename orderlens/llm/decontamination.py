@@ -7,7 +7,9 @@ be consistent, one value of the item for one value of the document and the other
 Built-in functions only.
 
 A document's windows are held against a bitmap of the benchmark's before they become rows, and those
-that pass take their words along, so that texts are read once and never shuffled.
+that pass take their words along, so that texts are read once and never shuffled. Every window holds
+a run of words that starts at a multiple of STEP in the document; windows whose run no window of the
+benchmark has are not looked at.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ from orderlens.workspace import stored
 WINDOW = 8
 #: Items of fewer words than this are only found as whole documents: anything may hold them by chance.
 SHORTEST = 5
-#: Bits of the bitmap: at least eight for each window of the benchmark, up to this many.
+#: A document's runs of words are tried at so many words' distance. Less than SHORTEST.
+STEP = 4
+#: Bits of a bitmap: at least eight for each window or run of the benchmark, up to this many.
 MOST_BITS = 1 << 20
 #: Part of an item's windows that a document must hold in consistent alignments.
 LEAST_SHARE = 0.3
@@ -52,7 +56,7 @@ def _templates(text: str) -> str:
     return (
         f"transform(array(filter(transform(split({text}, '[ \\t\\n\\f\\r\\u000b]+'), w -> struct(w as raw, {plain} as o)), w -> w.o != '')),"
         f" ws -> transform(ws, (w, i) -> struct(case when {number.format(w='w')} then '#number'"
-        f" when i > 0 and lower(w.o) in ({units}) and {number.format(w='ws[i - 1]')} then '#unit'"
+        f" when i > 0 and {number.format(w='ws[i - 1]')} and lower(w.o) in ({units}) then '#unit'"
         rf" when i > 0 and {capital} and w.o rlike '^\\p{{Lu}}\\p{{Ll}}+$' and not ws[i - 1].raw rlike '[.!?:|]$' then '#name'"
         " else lower(w.o) end as t, lower(w.o) as o)))[0]"
     )
@@ -72,15 +76,16 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return stored(cut.withColumn("window", F.expr("xxhash64(item_words.t)")), "benchmark-windows")
 
 
-def _bitmap(items: DataFrame) -> tuple[int, list[int]]:
-    """Number of bits and words of 32 bits: set where a window of the benchmark falls."""
+def _known(hashes: DataFrame, value: str) -> str:
+    """SQL: whether a bitmap of the column ``hash`` holds the value; others pass at times."""
     bits = 1024
-    while bits < min(MOST_BITS, 8 * items.count()):
+    while bits < min(MOST_BITS, 8 * hashes.count()):
         bits *= 2
     words = [0] * (bits // 32)
-    for row in items.select(F.pmod("window", F.lit(bits)).alias("bit")).distinct().collect():  # at most ``bits`` rows
+    for row in hashes.select(F.pmod("hash", F.lit(bits)).alias("bit")).distinct().collect():  # at most ``bits`` rows
         words[row.bit // 32] |= 1 << row.bit % 32
-    return bits, words
+    table = f"array({', '.join(f'{w}L' for w in words)})"
+    return f"shiftright({table}[cast(pmod({value}, {bits}) div 32 as int)], cast(pmod({value}, 32) as int)) & 1L = 1L"
 
 
 def _document_windows(items: DataFrame) -> str:
@@ -88,15 +93,20 @@ def _document_windows(items: DataFrame) -> str:
 
     Windows are of the widths that items have, from SHORTEST on; a text of fewer words is one window.
     """
-    bits, words = _bitmap(items)
-    widths = sorted({r["width"] for r in items.select("width").distinct().collect()} | {WINDOW})  # at most WINDOW
-    widths = ", ".join(str(w) for w in widths if w >= SHORTEST)
-    table = f"array({', '.join(f'{w}L' for w in words)})"
+    widths = {r["width"] for r in items.select("width").distinct().collect()} | {WINDOW}  # at most WINDOW
+    widths = sorted(w for w in widths if w >= SHORTEST)
+    run = widths[0] - STEP + 1
+    runs = items.where(f"width >= {SHORTEST}").select(
+        F.explode(F.expr(f"transform(sequence(1, {STEP}), i -> xxhash64(slice(item_words.t, i, {run})))")).alias("hash")
+    )
+    tried = f"filter(sequence(1, size(b.t) - {run - 1}, {STEP}), i -> {_known(runs.distinct(), f'xxhash64(slice(b.t, i, {run}))')})"
+    starts = f"flatten(transform({tried}, i -> sequence(greatest(1, i - {STEP - 1}), i)))"
     spots = (
-        f"flatten(transform(if(size(b.t) < {SHORTEST}, array(size(b.t)), filter(array({widths}), k -> k <= size(b.t))),"
-        " k -> transform(sequence(1, size(b.t) - k + 1), i -> struct(i, k, xxhash64(slice(b.t, i, k)) as window))))"
+        f"if(size(b.t) < {SHORTEST}, array(struct(1 as i, size(b.t) as k, xxhash64(b.t) as window)),"
+        f" transform(array({starts}), starts -> flatten(transform(array({', '.join(map(str, widths))}), k -> transform("
+        "filter(starts, i -> i <= size(b.t) - k + 1), i -> struct(i, k, xxhash64(slice(b.t, i, k)) as window)))))[0])"
     )
-    known = f"shiftright({table}[cast(pmod(s.window, {bits}) div 32 as int)], cast(pmod(s.window, 32) as int)) & 1L = 1L"
+    known = _known(items.select(F.col("window").alias("hash")), "s.window")
     return (
         f"transform(transform(array({_templates('text')}), ws -> struct(ws as ws, ws.t as t)), b -> if(size(b.t) = 0,"
         " array(), transform(filter(" + spots + f", s -> {known}),"

@@ -338,6 +338,18 @@ def _words(text):
     return _template([(w, o) for w, o in found if o])
 
 
+@pytest.mark.parametrize("widths", [(8, 12), (5, 6, 7, 8)])
+def test_windows_are_found_at_every_distance(spark, widths):
+    items = [(w, " ".join(f"item{w}word{k}" for k in range(w))) for w in widths]
+    rows = [(100 * w + lead, " ".join(["other"] * lead + [text] + ["after"] * (lead % 3))) for w, text in items for lead in range(10)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.leaks(documents(spark, rows), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"], r["share"]) for r in found} == {(i, i // 100, 1.0) for i, _ in rows}
+    # runs that no window of the benchmark has keep windows from being looked at
+    spots = decontamination._document_windows(decontamination.item_windows(benchmark))
+    assert spots.count(f", {decontamination.STEP})") == 1
+
+
 def test_templates_match_a_plain_search(spark):
     rng = random.Random(9)
     vocabulary = ["Anna", "Rome", "buys", "7", "12", "3.5", "km", "apples", "in", "the", "town", "(of)", "it's", "end.", "Zoë", "5%", "-4", "a1", "Über"]
