@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import decontamination, jaccard_join, language_id, mixing, sharding
+from orderlens.llm.corpus import small_batches
 from orderlens.workspace import stored
 
 SHARDS = 8
@@ -52,8 +53,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written and read again."""
+    """All stages over documents, each written and read again.
+
+    Python workers and Arrow buffers keep what a stage once took through the stages after it, so
+    that texts go to Python in small batches in every stage.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
