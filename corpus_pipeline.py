@@ -15,8 +15,14 @@ SHARDS = 8
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told go."""
-    return language_id.keep_identified(docs)
+    """Documents whose language cannot be told go.
+
+    Stored here, so that texts go to Python in small batches whatever settings the caller reads
+    the result with. Python workers and Arrow buffers keep what a stage once took through the
+    stages after it.
+    """
+    with small_batches(spark):
+        return stored(language_id.keep_identified(docs), "identified")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,19 +62,27 @@ def test_stages_take_nulls_copies_and_columns_of_any_name(spark):
         assert stage(spark, none, DATA).collect() == [], name
 
 
+def batch_sizes(session, docs, sf_dir):
+    def sizes(batches):
+        for batch in batches:
+            yield batch.append_column("size", pa.array([len(batch)] * len(batch), pa.int64())).select(["doc_id", "size"])
+
+    return docs.select("doc_id").mapInArrow(sizes, "doc_id long, size long")
+
+
 def test_texts_go_to_python_in_small_batches_in_every_stage(spark, monkeypatch, tmp_path):
     texts = spark.createDataFrame([(i, f"text {i}") for i in range(3000)], "doc_id long, text string").coalesce(1)
     texts.write.parquet(str(tmp_path / "documents.parquet"))
 
-    def batch_sizes(session, docs, sf_dir):
-        def sizes(batches):
-            for batch in batches:
-                yield batch.append_column("size", pa.array([len(batch)] * len(batch), pa.int64())).select(["doc_id", "size"])
-
-        return docs.select("doc_id").mapInArrow(sizes, "doc_id long, size long")
-
     monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", batch_sizes), ("second", batch_sizes)])
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert got.count() == 3000 and got.agg(F.max("size")).first()[0] <= 512
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_the_language_stage_has_small_batches_whoever_reads_its_result(spark, monkeypatch):
+    texts = spark.createDataFrame([(i, f"text {i}") for i in range(3000)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(language_id, "keep_identified", lambda docs: batch_sizes(spark, docs, ""))
+    got = dict(corpus_pipeline.STAGES)["language"](spark, texts, "")
+    assert got.count() == 3000 and got.agg(F.max("size")).first()[0] <= 512
