@@ -54,27 +54,36 @@ def band(documents: DataFrame) -> DataFrame:
     )
 
 
-def _nested(terms: str, family: int, rates: tuple[int, ...]) -> str:
-    """SQL: hashes of the terms within a family's lexicons, densest first, each taken from the one before."""
-    if not rates:
+def _nested(terms: str, level: int = 0) -> str:
+    """SQL: hashes of the terms within the lexicons of masks ``m``, densest first, each taken from the one before."""
+    left = len(RATES) - level
+    if not left:
         return "''"
-    mask = ((1 << rates[0]) - 1) << STRIDE * (family % PER_HASH)
-    own = f"s{len(rates)}"
+    own = f"s{level}"
     digits = f"lpad(hex(shiftrightunsigned(xxhash64({own}), {64 - 4 * DIGITS})), {DIGITS}, '0')"
     return (
-        f"transform(array(filter({terms}, t -> (t & {mask}L) = 0)), {own} -> if(size({own}) = 0, '{EMPTY * len(rates)}',"
-        f" concat({digits}, {_nested(own, family, rates[1:])})))[0]"
+        f"transform(array(filter({terms}, t -> (t & m.m{level}) = 0)), {own} -> if(size({own}) = 0, '{EMPTY * left}',"
+        f" concat({digits}, {_nested(own, level + 1)})))[0]"
     )
 
 
-def _hashed(first: int) -> str:
-    """SQL: the fingerprint's digits from family ``first`` on, over the terms or their hashes in ``k<n>``."""
-    terms, after = f"k{first // PER_HASH}", min(first + PER_HASH, FAMILIES)
-    digits = ", ".join(_nested(terms, family, RATES) for family in range(first, after))
-    if after == FAMILIES:
-        return f"concat({digits})"
-    again = f"transform(array(transform({terms}, t -> xxhash64(t))), k{after // PER_HASH} -> {_hashed(after)})[0]"
-    return f"concat({digits}, {again})"
+def _hashed(terms: str) -> str:
+    """SQL: the digits of all families, over the terms, their hashes, the hashes' hashes and so on.
+
+    One expression serves all families, which differ in the masks that it runs over; written out
+    for each, it takes hundreds of MB in the driver.
+    """
+    masks = [[((1 << rate) - 1) << STRIDE * family for rate in RATES] for family in range(PER_HASH)]
+    masks = ", ".join(
+        "named_struct({})".format(", ".join(f"'m{level}', {mask}L" for level, mask in enumerate(own))) for own in masks
+    )
+    rounds = -(-FAMILIES // PER_HASH)
+    keys = "array({})".format(", ".join(f"k{i}" for i in range(rounds)))
+    for i in reversed(range(1, rounds)):
+        keys = f"transform(array(transform(k{i - 1}, t -> xxhash64(t))), k{i} -> {keys})[0]"
+    keys = f"transform(array({terms}), k0 -> {keys})[0]"
+    digits = f"flatten(transform({keys}, k -> transform(array({masks}), m -> {_nested('k')})))"
+    return f"array_join(slice({digits}, 1, {FAMILIES}), '')"
 
 
 class Fingerprinter:
@@ -117,17 +126,14 @@ class Fingerprinter:
 
     def fingerprints(self, rows: DataFrame, **texts: str) -> DataFrame:
         """Adds a fingerprint column for each named text column; missing texts get null."""
-        lexicon = "__lexicon__"
-        rows = rows.withColumn(lexicon, F.from_json(F.lit(self.table), "array<bigint>"))
-        return rows.select(
-            *(c for c in rows.columns if c != lexicon),
-            *(
-                F.expr(
-                    f"transform(transform(array({lexicon}), lexicon -> {self.kept(text)}[0]), k0 -> {_hashed(0)})[0]"
-                ).alias(name)
-                for name, text in texts.items()
-            ),
+        prints, lexicon = "__prints__", F.from_json(F.lit(self.table), "array<bigint>")
+        # one expression for all texts: it holds the whole table, and every printed plan what it holds
+        hashed = F.expr(
+            f"transform(__texts__, text -> if(text is null, null,"
+            f" transform(array(__lexicon__), lexicon -> {_hashed(f'{self.kept("text")}[0]')})[0]))"
         )
+        found = rows.withColumn("__texts__", F.array(*texts.values())).withColumn("__lexicon__", lexicon).withColumn(prints, hashed)
+        return found.select(*rows.columns, *(F.col(prints)[i].alias(name) for i, name in enumerate(texts)))
 
 
 def likeness(one: str, other: str) -> Column:
@@ -137,18 +143,26 @@ def likeness(one: str, other: str) -> Column:
     alike; and of all families, those that do so in their sparsest such lexicon, which happens
     about as often as a random term of either text is in both.
     """
-    same, some, families, alike = F.lit(0), F.lit(0), F.lit(0), F.lit(0)
-    for family in range(FAMILIES):
-        agreeing, present = F.lit(False), F.lit(False)
-        for level in range(len(RATES)):
-            at = (family * len(RATES) + level) * DIGITS + 1
-            a, b = (F.substring(c, at, DIGITS) for c in (one, other))
-            agrees, has = (a == b) & (a != EMPTY), (a != EMPTY) | (b != EMPTY)
-            same, some = same + agrees.cast("int"), some + has.cast("int")
-            # nested: lexicons that agree on a dense level agree on the sparser ones too
-            agreeing, present = agreeing | agrees, present | has
-        families, alike = families + present.cast("int"), alike + agreeing.cast("int")
-    shares = same / F.greatest(some, F.lit(1)) + alike / F.greatest(families, F.lit(1))
+    empty, levels = f"cast('{EMPTY}' as binary)", len(RATES)
+    # per lexicon: 0 without terms, 1 not alike, 2 alike; as bytes, so that no part is counted off from the start
+    codes = (
+        f"transform(array(struct(cast({one} as binary) as a, cast({other} as binary) as b)), p ->"
+        f" transform(sequence(0, {LEXICONS - 1}), i -> transform(array(struct(substring(p.a, i * {DIGITS} + 1, {DIGITS}) as a,"
+        f" substring(p.b, i * {DIGITS} + 1, {DIGITS}) as b)), x -> if(x.a = x.b, if(x.a = {empty}, 0, 2), 1))[0]))[0]"
+    )
+    own = f"slice(codes, family * {levels} + 1, {levels})"
+
+    def share(least: int) -> tuple[str, str]:
+        """SQL: the number of lexicons with this code or a higher one, and of families with such a lexicon."""
+        return (
+            f"size(filter(codes, c -> c >= {least}))",
+            f"size(filter(sequence(0, {FAMILIES - 1}), family -> exists({own}, c -> c >= {least})))",
+        )
+
+    # nested: lexicons that agree on a dense level agree on the sparser ones too
+    (some, families), (same, alike) = share(1), share(2)
+    shares = f"{same} / greatest({some}, 1) + {alike} / greatest({families}, 1)"
+    shares = F.expr(f"transform(array({codes}), codes -> {shares})[0]")
     return F.when(F.col(one) == F.col(other), 1.0).otherwise(shares / 2)
 
 

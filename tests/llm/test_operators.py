@@ -207,6 +207,11 @@ def test_fingerprints(odd, none):
     assert fingerprints.with_next(none).count() == 0
 
 
+def test_one_expression_serves_all_families_of_lexicons(odd):
+    plan = fingerprints.with_next(odd)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 60_000
+
+
 def test_half_edited_texts_are_nearer_than_others(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = fingerprints.with_next(table).where("n_chars >= 200").collect()
