@@ -147,7 +147,7 @@ def common_hashes(
     size = 1 << power - 3
     bitmap = np.zeros((2, size), np.uint8)
     part = size >> bucket_bits
-    for row in regions.toLocalIterator():  # 2 ** power bits twice, in bounded pieces
+    for row in stored(regions, "common-hashes").toLocalIterator():  # 2 ** power bits twice, in bounded pieces
         for i in (0, 1):
             bitmap[i, row["bucket"] * part : (row["bucket"] + 1) * part] = np.frombuffer(row[f"b{i}"], np.uint8)
     return power, bitmap

@@ -206,11 +206,16 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     """(doc_id, text_key, start, stop): byte ranges covered by strings that a smaller doc_id has as well."""
     rows = repeated_bodies(documents).repartition("bucket")
     rows = rows.withColumn("first_id", F.min("doc_id").over(Window.partitionBy("bucket", "body")))
+    # only the bodies of the smallest ids are looked into; equal ones of others go as a whole
+    rows = rows.select(
+        "bucket", "doc_id", "text_key", "at", F.octet_length("body").alias("size"),
+        F.when(F.col("doc_id") == F.col("first_id"), F.col("body")).alias("body"),
+    )
     rows = stored(rows, "repeated-bodies")
-    whole = rows.where("doc_id > first_id").select(
-        "doc_id", "text_key", F.col("at").alias("start"), (F.col("at") + F.octet_length("body")).alias("stop")
+    whole = rows.where("body is null").select(
+        "doc_id", "text_key", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("stop")
     )
-    firsts = rows.where("doc_id = first_id")
+    firsts = rows.where("body is not null").drop("size")
     large = firsts.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > MOST_BODIES).select("bucket")
     within = firsts.join(large, "bucket", "left_anti").groupBy("bucket").applyInArrow(
         _spans, "doc_id long, text_key long, start long, stop long"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,10 +25,26 @@ def new_directory(spark: SparkSession, label: str) -> str:
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
-    """The frame written once and read again: later steps and retries read the files."""
-    path = new_directory(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    """The frame written once and read again: later steps and retries read the files.
+
+    What was shuffled for it is deleted as soon as it is written.
+    """
+    spark = frame.sparkSession
+    path = new_directory(spark, label)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """The session has this setting in the actions within, and its own again afterwards."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def remove_directory(spark: SparkSession, path: str) -> None:

@@ -5,12 +5,14 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pairs import expected, odd_rows
 from pyspark.sql import functions as F
 
+from orderlens import workspace
 from orderlens.llm import (
     decontamination,
     fingerprints,
@@ -101,6 +103,21 @@ def test_repeated_strings_match_brute_force(spark, monkeypatch, odd, most):
     assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == want
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in files.mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_shuffles_go_when_what_they_were_for_is_stored(spark, odd):
+    before, patience = shuffle_files(spark), time.time() + 20
+    rows = workspace.stored(odd.repartition(3, "doc_id"), "dealt")
+    _, bitmap = jaccard_join.common_hashes(odd, 1000)
+    while shuffle_files(spark) - before and time.time() < patience:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert rows.count() == odd.count() and bitmap.any()
+
+
 def test_texts_under_one_id_lose_only_their_own_bytes(spark, none):
     base, other = prose(70, 40), "nothing of this occurs anywhere else " * 1 + prose(71, 30)
     rows = [(1, base), (5, base), (5, other), (6, other[:80] + prose(72, 20)), (None, base), (5, base)]
