@@ -6,9 +6,10 @@ of at most 2 * LEAST - GRAM bytes. Bodies whose anchor is found only once hold n
 others meet by the anchor's hash, where a suffix array of their windows, cut into intervals with
 a common prefix of LEAST bytes, gives all occurrences of each repeated string.
 
-Bodies that are equal as a whole are settled by a comparison of ids before the arrays are built;
-a bucket with too many bodies for one task is spread by window instead, which gives the same
-intervals.
+Bodies that are equal as a whole are settled by a comparison of ids before the arrays are built.
+They meet as digests of 128 bits, half of them the anchor's; only the bytes of those with the smallest
+id are cut from their texts and sent. A bucket with too many bodies for one task is spread by window
+instead, which gives the same intervals.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.corpus import id_and_text
+from orderlens.llm.corpus import id_and_text, sliced
 from orderlens.llm.jaccard_join import common_hashes
 from orderlens.workspace import stored
 
@@ -31,6 +33,8 @@ SPREAD = LEAST - GRAM + 1
 PIECE_BITS = 19
 #: Bodies that one bucket is meant to have, and has at most before it is spread.
 BODIES, MOST_BODIES = 4_000, 40_000
+#: A span of bytes lies within one body and is one number, start * REACH + length.
+REACH = 128
 
 _BYTE = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -110,7 +114,7 @@ def _anchor_arrays(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 def repeated_bodies(documents: DataFrame) -> DataFrame:
-    """(bucket, doc_id, text_key, at, body) of every body whose anchor is found more than once."""
+    """(bucket, anchor, digest, doc_id, text_key, span) of every body whose anchor is found more than once."""
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = 2 * size // SPREAD
     power, bitmap = common_hashes(documents, expected, _anchor_arrays)
@@ -130,19 +134,54 @@ def repeated_bodies(documents: DataFrame) -> DataFrame:
                 begin = np.concatenate(([0], ends[:-1]))[part]
                 rows = np.array([w[0] for w in where], np.int64)[part]
                 offset = np.array([w[1] for w in where], np.int64)[part]
-                raw = data.tobytes()
+                raw, digest = data.tobytes(), xxhash.xxh3_64_intdigest
+                found = [digest(raw[a:b]) for a, b in zip(first.tolist(), (last + LEAST).tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array((anchor % np.uint64(buckets)).astype(np.int64)),
+                        pa.array(anchor.view(np.int64)),
+                        pa.array(np.array(found, np.uint64).view(np.int64)),
                         ids.take(pa.array(rows)),
                         keys.take(pa.array(rows)),
-                        pa.array(first - begin + offset),
-                        pa.array([raw[a : b + LEAST] for a, b in zip(first, last)], pa.binary()),
+                        pa.array((first - begin + offset) * REACH + last - first + LEAST),
                     ],
-                    names=["bucket", "doc_id", "text_key", "at", "body"],
+                    names=["anchor", "digest", "doc_id", "text_key", "span"],
                 )
 
-    return documents.mapInArrow(run, "bucket long, doc_id long, text_key long, at long, body binary")
+    found = documents.mapInArrow(run, "anchor long, digest long, doc_id long, text_key long, span long")
+    return found.withColumn("bucket", F.pmod("anchor", F.lit(buckets)))
+
+
+def settled_bodies(documents: DataFrame) -> DataFrame:
+    """(doc_id, text_key, whole, firsts): spans that a smaller doc_id has as a body, and (span, bucket) of the others."""
+    same = Window.partitionBy("anchor", "digest")
+    rows = repeated_bodies(documents).withColumn("first_id", F.min("doc_id").over(same))
+    mine = F.col("doc_id") == F.col("first_id")
+    rows = rows.select("doc_id", "text_key", "span", F.when(mine, F.col("bucket")).alias("bucket"))
+    # repeated rows have the same spans, so that a set has them once
+    return rows.repartition("doc_id", "text_key").groupBy("doc_id", "text_key").agg(
+        F.collect_set(F.when(F.col("bucket").isNull(), F.col("span"))).alias("whole"),
+        F.collect_set(F.when(F.col("bucket").isNotNull(), F.struct("span", "bucket"))).alias("firsts"),
+    )
+
+
+def _cut_bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of each text's bodies in ``firsts``."""
+    for batch in sliced(batches):
+        firsts = batch.column("firsts")
+        parents, found = firsts.value_parent_indices(), firsts.flatten()
+        span = found.field("span").to_numpy()
+        at, size, texts = span // REACH, span % REACH, _texts(batch)
+        body = [texts[i][a : a + n] for i, a, n in zip(parents.to_pylist(), at.tolist(), size.tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [
+                found.field("bucket"),
+                batch.column("doc_id").take(parents),
+                batch.column("text_key").take(parents),
+                pa.array(at),
+                pa.array(body, pa.binary()),
+            ],
+            names=["bucket", "doc_id", "text_key", "at", "body"],
+        )
 
 
 def repeat_groups(contents: list[bytes], owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -197,33 +236,30 @@ def _spans(group: pa.Table) -> pa.Table:
     return pa.table({
         "doc_id": pa.array(owners[body[first]], pa.int64()),
         "text_key": group.column("text_key").take(pa.array(body[first])),
-        "start": pa.array(at + offset[first], pa.int64()),
-        "stop": pa.array(at + offset[last] + LEAST, pa.int64()),
+        "span": pa.array((at + offset[first]) * REACH + offset[last] - offset[first] + LEAST, pa.int64()),
     })
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, stop): byte ranges covered by strings that a smaller doc_id has as well."""
-    rows = repeated_bodies(documents).repartition("bucket")
-    rows = rows.withColumn("first_id", F.min("doc_id").over(Window.partitionBy("bucket", "body")))
+    """(doc_id, text_key, spans): what is covered by strings that a smaller doc_id has as well, one row a text."""
+    settled = stored(settled_bodies(documents), "settled-bodies")
     # only the bodies of the smallest ids are looked into; equal ones of others go as a whole
-    rows = rows.select(
-        "bucket", "doc_id", "text_key", "at", F.octet_length("body").alias("size"),
-        F.when(F.col("doc_id") == F.col("first_id"), F.col("body")).alias("body"),
-    )
-    rows = stored(rows, "repeated-bodies")
-    whole = rows.where("body is null").select(
-        "doc_id", "text_key", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("stop")
-    )
-    firsts = rows.where("body is not null").drop("size")
+    firsts = documents.join(settled.where(F.size("firsts") > 0).drop("whole"), ["doc_id", "text_key"])
+    firsts = stored(
+        firsts.mapInArrow(_cut_bodies, "bucket long, doc_id long, text_key long, at long, body binary"), "first-bodies"
+    ).where("bucket is not null")  # said once, so that both joins below read one shuffle
     large = firsts.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > MOST_BODIES).select("bucket")
     within = firsts.join(large, "bucket", "left_anti").groupBy("bucket").applyInArrow(
-        _spans, "doc_id long, text_key long, start long, stop long"
+        _spans, "doc_id long, text_key long, span long"
     )
     window = F.explode(F.expr(f"transform(sequence(0, octet_length(body) - {LEAST}), o -> struct(o, substring(body, o + 1, {LEAST}) as w))"))
     spread = firsts.join(large, "bucket").select("doc_id", "text_key", "at", window.alias("x")).select("doc_id", "text_key", (F.col("at") + F.col("x.o")).alias("start"), "x.w")
     spread = spread.withColumn("first_id", F.min("doc_id").over(Window.partitionBy("w"))).where("doc_id > first_id")
-    return whole.unionByName(within).unionByName(spread.select("doc_id", "text_key", "start", (F.col("start") + LEAST).alias("stop")))
+    looked = within.unionByName(spread.select("doc_id", "text_key", (F.col("start") * REACH + LEAST).alias("span")))
+    looked = stored(looked.groupBy("doc_id", "text_key").agg(F.collect_set("span").alias("looked")), "looked-into")
+    # every text with spans has a body, so that it stands in settled
+    spans = F.concat("whole", F.coalesce("looked", F.array().cast("array<long>")))
+    return settled.join(looked, ["doc_id", "text_key"], "left").select("doc_id", "text_key", spans.alias("spans"))
 
 
 def cut_out(text: str, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -252,15 +288,13 @@ def drop_repeats(documents: DataFrame) -> DataFrame:
     """
     rows = id_and_text(documents).withColumn("text_key", F.xxhash64("text"))
     spans = repeated_spans(rows.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")))
-    by_document = spans.groupBy(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans")
-    )
+    by_document = spans.select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text"), "spans")
 
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept_text binary, kept_sha256 string")
     def left(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
         out = []
         for text, found in zip(texts, spans):
-            pairs = [(x["start"], x["stop"]) for x in found] if found is not None else []
+            pairs = [(x // REACH, x // REACH + x % REACH) for x in found.tolist()] if found is not None else []
             kept, removed, runs = cut_out(text, pairs)
             out.append((len(kept) + removed, removed, runs, kept, hashlib.sha256(kept).hexdigest()))
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_text", "kept_sha256"])

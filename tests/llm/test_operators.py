@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 import time
@@ -127,6 +128,29 @@ def test_texts_under_one_id_lose_only_their_own_bytes(spark, none):
     assert suffix_dedup.drop_repeats(none).count() == 0
 
 
+def test_copies_are_shuffled_as_digests_and_first_bodies_once(spark, settings, monkeypatch):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    text, copies, seen, sent, firsts = prose(80, 12_000), 30, shuffle_files(spark), {}, []
+
+    def stored(frame, label):  # as in workspace, but shuffles stay to be measured
+        path = workspace.new_directory(spark, label)
+        frame.write.parquet(path)
+        new = shuffle_files(spark) - seen
+        sent[label] = sum(os.path.getsize(f) for f in new if os.path.exists(f))
+        seen.update(new)
+        kept = spark.read.schema(frame.schema).parquet(path)
+        if "body" in frame.columns:
+            firsts.append(kept.agg(F.sum(F.octet_length("body"))).first()[0])
+            seen.update(shuffle_files(spark))
+        return kept
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    left = suffix_dedup.drop_repeats(documents(spark, [(i, text) for i in range(copies)])).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in left) == [(i, len(text) if i else 0) for i in range(copies)]
+    assert max(sent.values()) < 3 * copies * len(text)
+    assert sum(firsts) < 7 * len(text) and sent["looked-into"] < 1.5 * sum(firsts)
+
+
 def test_repeat_groups_are_all_equal_windows():
     text = bytes(random.Random(1).choices(range(97, 100), k=200)) * 2
     contents = [text[:90], text[20:140], text[200:300]]
