@@ -2,9 +2,9 @@
 
 1. Texts with equal sets are one set from here on, with a name of 128 bits, and one row of it, by id
    and text, lends its text.
-2. Shingles are counted over all sets into two bitmaps: found more than once, found often.
-   Each set's prefix in the order (once, seldom, often; hash) must share a shingle with every
-   set it links with, so that sets with a quarter of shingles of their own have no partner.
+2. Shingles are counted over all sets. Each set's prefix in the order (count, hash; counts over 128
+   in steps) must share a shingle with every set it links with, so that sets with a quarter of
+   shingles of their own have no partner.
 3. Sets that share a prefix shingle, directly or in turn, make a family.
 4. Each family is joined set by set. Index lists are sorted by size, and the blocks whose sizes
    or positions leave too little to share are skipped at once; a set whose component is known to
@@ -13,17 +13,20 @@
    Families too large for one task are dealt to pairs of blocks.
 5. The links found (at most one per set and task) give components.
 
-Links between different sets are all found: hash order and bitmaps only decide how long it takes.
+Links between different sets are all found: the order of shingles only decides how long it takes.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.corpus import id_and_text, sliced, small_batches
@@ -37,6 +40,9 @@ OFTEN = 16
 LEAST_POWER, MOST_POWER = 20, 27
 TOKEN_BITS = 44
 FLUSH = 1 << 19
+#: Sets of a block of tokens are numbered in two bytes.
+MOST_OWNERS = 1 << 16
+ROW_HASHES = 4
 #: What one task joins: so many sets and bytes of text at most (a single set may be larger).
 BLOCK_SETS, BLOCK_BYTES = 4096, 12 << 20
 
@@ -153,30 +159,152 @@ def common_hashes(
     return power, bitmap
 
 
-def prefix_entries(documents: DataFrame, power: int, bitmap: np.ndarray) -> DataFrame:
-    """(token, set_key) of every prefix shingle that more than one row has."""
-    shared = documents.sparkSession.sparkContext.broadcast(bitmap)
+def lending_rows(reps: DataFrame) -> tuple[int, np.ndarray]:
+    """A Bloom filter of 2 ** power bits, 64 to a word, of the rows that lend their set's text.
+
+    A row that it doesn't hold surely lends nothing; of those it holds, a few do not either. Its size
+    is bounded; a fuller one lets more copies through, never fewer.
+    """
+    power = min(MOST_POWER, max(LEAST_POWER, (16 * reps.count()).bit_length()))
+    words = (
+        reps.select(F.explode(row_slots(F.col("row.doc_id"), F.col("row.text_key"), power)).alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("bits"))
+    )
+    found, bitmap = words.toArrow(), np.zeros(1 << power - 6, np.int64)
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return power, bitmap
+
+
+def row_slots(doc_id: Column, text_key: Column, power: int) -> Column:
+    return F.array(*(F.shiftrightunsigned(F.xxhash64(doc_id, text_key, F.lit(i)), 64 - power) for i in range(ROW_HASHES)))
+
+
+def _dealt_tokens(bucket_bits: int, lends: Callable[[np.ndarray], np.ndarray]):
+    """Sets in blocks: a row of tokens and their owners per bucket, and one of names and sizes (bucket below 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        held, size, blocks = [], 0, itertools.count(TaskContext.get().partitionId() << 32)
+
+        def flush() -> pa.RecordBatch:
+            block, sizes = next(blocks), np.array([len(hashes) for hashes in held], np.int64)
+            tokens = np.concatenate(held) >> np.uint64(64 - TOKEN_BITS)
+            order = np.argsort(tokens, kind="stable")
+            tokens, owners = tokens[order], np.repeat(np.arange(len(held), dtype=np.uint16), sizes)[order]
+            bucket = (tokens >> np.uint64(TOKEN_BITS - bucket_bits)).astype(np.int64)
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            ends = np.append(starts[1:], len(tokens))
+            names = b"".join(set_name(hashes) for hashes in held)
+            return _token_rows(
+                np.full(len(starts) + 1, block),
+                np.append(bucket[starts], ~block),
+                [_packed(tokens[a:b]) for a, b in zip(starts, ends)] + [names],
+                [_planes(owners[a:b]) for a, b in zip(starts, ends)] + [sizes.tobytes()],
+                [b""] * (len(starts) + 1),
+            )
+
         for batch in sliced(batches):
-            tokens, keys = [], []
-            for hashes in _found(batch):
-                slot = (hashes >> np.uint64(64 - power)).astype(np.int64)
-                at, bit = slot >> 3, (7 - (slot & 7)).astype(np.uint8)
-                rank = ((bits[0][at] >> bit) & 1) + ((bits[1][at] >> bit) & 1)
-                prefix = np.argsort(rank, kind="stable")[: prefix_length(len(hashes))]
-                found = hashes[prefix[rank[prefix] > 0]]
-                if len(found):
-                    tokens.append(found)
-                    keys += [set_name(hashes)] * len(found)
-            if tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(keys, pa.binary())],
-                    names=["token", "set_key"],
-                )
-
-    return documents.select("text").mapInArrow(run, "token long, set_key binary")
+            slots = batch.column("slots").flatten().to_numpy().reshape(-1, ROW_HASHES)
+            lent = batch.filter(pa.array(lends(slots)))
+            for hashes in _found(lent):
+                if len(hashes):
+                    held.append(hashes)
+                    size += len(hashes)
+                if size >= FLUSH or len(held) == MOST_OWNERS:
+                    yield flush()
+                    held.clear()
+                    size = 0
+        if held:
+            yield flush()
+
+    return run
+
+
+TOKEN_ROWS = "block long, bucket long, tokens binary, owners binary, counts binary"
+
+
+def _token_rows(block, bucket, tokens: list[bytes], owners: list[bytes], counts: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block, pa.int64()), pa.array(bucket, pa.int64()), *(pa.array(x, pa.binary()) for x in (tokens, owners, counts))],
+        names=["block", "bucket", "tokens", "owners", "counts"],
+    )
+
+
+def _planes(owners: np.ndarray) -> bytes:
+    """The low bytes, then the high ones."""
+    return owners.view(np.uint8).reshape(-1, 2).T.tobytes()
+
+
+def _owners(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(2, -1).T).view(np.uint16).ravel()
+
+
+def count_code(found: np.ndarray) -> np.ndarray:
+    """Counts in one byte that keeps their order: as they are up to 128, then eight steps to a doubling."""
+    return np.minimum(np.where(found <= 128, found, 128 + 8 * np.log2(np.maximum(found, 128) / 128)), 255).astype(np.uint8)
+
+
+def _repeated(group: pa.Table) -> pa.Table:
+    """Of a bucket's tokens those found more than once, with codes of their counts; names and sizes as they come."""
+    if group.column("bucket")[0].as_py() < 0:
+        return group
+    parts = [_unpacked(x.as_py()) for x in group.column("tokens")]
+    tokens = np.concatenate(parts)
+    order = np.argsort(tokens, kind="stable")
+    starts = np.flatnonzero(np.concatenate(([True], np.diff(tokens[order]) != 0)))
+    found = np.diff(np.append(starts, len(tokens)))
+    counts = np.empty(len(tokens), np.uint8)
+    counts[order] = np.repeat(count_code(found), found)
+    rows, at = [], 0
+    for part, block, owners in zip(parts, group.column("block").to_pylist(), group.column("owners")):
+        own = counts[at : at + len(part)]
+        at += len(part)
+        often = own > 1
+        if often.any():
+            rows.append((block, _packed(part[often]), _planes(_owners(owners.as_py())[often]), own[often].tobytes()))
+    bucket = np.full(len(rows), group.column("bucket")[0].as_py())
+    return pa.Table.from_batches([_token_rows([r[0] for r in rows], bucket, *([r[i] for r in rows] for i in (1, 2, 3)))])
+
+
+def _prefixes(group: pa.Table) -> pa.Table:
+    """(token, set_key) of a block's prefix shingles that are found more than once."""
+    described = group.filter(pc.less(group.column("bucket"), 0))
+    names, sizes = described.column("tokens")[0].as_py(), np.frombuffer(described.column("owners")[0].as_py(), np.int64)
+    rows = group.filter(pc.greater_equal(group.column("bucket"), 0)).to_pylist()
+    tokens = np.concatenate([np.zeros(0, np.uint64), *(_unpacked(r["tokens"]) for r in rows)])
+    owners = np.concatenate([np.zeros(0, np.uint16), *(_owners(r["owners"]) for r in rows)])
+    counts = np.frombuffer(b"".join(r["counts"] for r in rows), np.uint8)
+    shared = np.bincount(owners, minlength=len(sizes))
+    # what a set has alone comes first in its prefix
+    left = sizes - -(-NUMERATOR * sizes // DENOMINATOR) + 1 - (sizes - shared)
+    order = np.lexsort((tokens, counts, owners))
+    place = np.arange(len(order)) - np.repeat(np.cumsum(shared) - shared, shared)
+    kept = order[place < np.repeat(left, shared)]
+    keys = [names[16 * k : 16 * k + 16] for k in owners[kept].tolist()]
+    return pa.table({"token": pa.array(tokens[kept].view(np.int64)), "set_key": pa.array(keys, pa.binary())})
+
+
+def prefix_entries(documents: DataFrame, reps: DataFrame, expected: int) -> DataFrame:
+    """(token, set_key) of every prefix shingle that more than one set has.
+
+    Tokens travel to their bucket with the number of their set in a block of sets; those found more
+    than once travel back to the block with their counts, so that what is known of them is exact
+    whatever their number. A row that repeats a lending row counts besides it; its set may get
+    entries that no other set has.
+    """
+    power, bitmap = lending_rows(reps)
+    shared = documents.sparkSession.sparkContext.broadcast(bitmap)
+    bucket_bits = min(16, max(8, (expected >> 20).bit_length()))
+
+    def lends(slots: np.ndarray) -> np.ndarray:
+        return ((shared.value[slots >> 6] >> (slots & 63)) & 1 > 0).all(axis=1)
+
+    return (
+        documents.select(row_slots(F.col("doc_id"), F.xxhash64("text"), power).alias("slots"), "text")
+        .mapInArrow(_dealt_tokens(bucket_bits, lends), TOKEN_ROWS)
+        .groupBy("bucket").applyInArrow(_repeated, TOKEN_ROWS)
+        .groupBy("block").applyInArrow(_prefixes, "token long, set_key binary")
+    )
 
 
 def link_block(hashes: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -278,8 +406,7 @@ def _linked(documents: DataFrame, all_sets: DataFrame) -> DataFrame:
     )
     reps = stored(named, "shingle-reps")
     total = reps.agg(F.sum("n")).first()[0] or 0
-    power, bitmap = common_hashes(documents, total)
-    entries = stored(prefix_entries(documents, power, bitmap).distinct(), "shingle-prefixes")
+    entries = stored(prefix_entries(documents, reps, total), "shingle-prefixes")
     heads = entries.groupBy("token").agg(F.min("set_key").alias("head"), F.max("set_key").alias("last")).where("head < last")
     pairs = entries.join(heads, "token").where("set_key <> head").select(F.col("set_key").alias("a"), F.col("head").alias("b"))
     families = stored(components(pairs.distinct()).select(F.col("node").alias("set_key"), F.col("root").alias("family")), "families")

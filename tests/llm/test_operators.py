@@ -84,6 +84,33 @@ def test_near_duplicates_keep_the_first(odd, none):
     assert sorted((r["doc_id"], r["text"]) for r in jaccard_join.keep_first(two).collect()) == [(1, prose(1, 60)), (5, prose(2, 60))]
 
 
+@pytest.mark.parametrize(("copies", "most"), [(1, 10), (4, 27)])
+def test_sets_without_partner_are_not_dealt(spark, monkeypatch, copies, most):
+    """Neither copies nor a great number of shingles found in two texts each give other texts prefix entries."""
+    monkeypatch.setattr(jaccard_join, "LEAST_POWER", 10)
+    monkeypatch.setattr(jaccard_join, "MOST_POWER", most)
+    given = {}
+
+    def stored(frame, label):
+        given[label] = workspace.stored(frame, label)
+        return given[label]
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    texts = [f"{prose(900 + k, 200)} {prose(5000 + k // 2, 25)}" for k in range(400)]
+    near = texts[0].split()
+    near[100] = "changed"
+    rows = [(i, t) for i, t in enumerate([*texts * copies, " ".join(near)])]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.join(documents(spark, rows)).collect()}
+    assert got == {i: 0 if i == len(rows) - 1 else i % 400 for i, _ in rows}
+    keys = {bytes(r["set_key"]) for r in given["shingle-prefixes"].collect()}
+    assert len(keys) < 20 and given["family-texts"].count() == 2
+
+
+def test_counts_of_shingles_keep_their_order():
+    codes = jaccard_join.count_code(np.array([2, 3, 127, 128, 150, 1000, 2000, 10**6, 10**9])).tolist()
+    assert codes == sorted(codes) and codes[:4] == [2, 3, 127, 128] and len(set(codes)) == 9
+
+
 @pytest.mark.parametrize("most", [40_000, 0])
 def test_repeated_strings_match_brute_force(spark, monkeypatch, odd, most):
     monkeypatch.setattr(suffix_dedup, "MOST_BODIES", most)
