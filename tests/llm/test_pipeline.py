@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import corpus_pipeline
 import pyarrow as pa
-from pairs import odd_rows, shingles
+from pairs import odd_rows, shingles, words
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontamination, language_id, mixing
+from orderlens import workspace
+from orderlens.llm import decontamination, jaccard_join, language_id, mixing
 
 DATA = "/root/testdata/sf0.001"
 
@@ -86,3 +87,21 @@ def test_the_language_stage_has_small_batches_whoever_reads_its_result(spark, mo
     monkeypatch.setattr(language_id, "keep_identified", lambda docs: batch_sizes(spark, docs, ""))
     got = dict(corpus_pipeline.STAGES)["language"](spark, texts, "")
     assert got.count() == 3000 and got.agg(F.max("size")).first()[0] <= 512
+
+
+def test_a_passage_of_many_texts_does_not_make_them_one_family(spark, monkeypatch):
+    given = {}
+
+    def stored(frame, label):
+        given[label] = workspace.stored(frame, label)
+        return given[label]
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    passage, rows = words(0, 100), []
+    for k in range(6):
+        own = words(k + 1, 100)
+        rows += [(2 * k, " ".join(own + passage)), (2 * k + 1, " ".join([*own[:50], "changed", *own[51:], *passage]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ids(dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "")) == set(range(0, 12, 2))
+    families = given["families"].groupBy("family").count().collect()
+    assert [r["count"] for r in families] == [2] * 6
